@@ -34,7 +34,7 @@ from turbilux.operators.rows import (  # noqa: E402
     unique_dates,
 )
 from turbilux.plans.legacy import legacy_pole_heatmap, paired_window_means  # noqa: E402
-from turbilux.plans.pole_trials import planned_trials, pole_trials  # noqa: E402
+from turbilux.plans.pole_trials import planned_trials, pole_trials, sample_extents, usable_deployments  # noqa: E402
 from turbilux.plans.site_tables import (  # noqa: E402
     cell_attenuation,
     coordinates,
@@ -48,6 +48,7 @@ from turbilux.plans.trial_series import trial_series  # noqa: E402
 from turbilux.site import LEGACY_BORDER_SHIFT, LEGACY_BORDER_WIDTH  # noqa: E402
 from turbilux.sources.logger_files import parse_samples  # noqa: E402
 from turbilux.sources.metadata import clean_metadata  # noqa: E402
+from turbilux.sources.tables import stage  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,13 +131,8 @@ def _legacy_pairing(spark, sf):
 
 
 def _window_means(spark, sf):
-    samples = pivot_loggers(
-        V.raw_samples(spark, sf), ["pole_id", "slot_ts"], ["intensity"], names_from="logger_number", numbers=(1, 2), cell="mean"
-    ).drop("n_1", "n_2")
     return paired_window_means(
-        unpivot_loggers(samples, ["intensity"], id_name="logger_id").withColumn(
-            "logger_number", F.col("logger_id").cast("int")
-        ),
+        V.readings(spark, sf),
         V.disturbances(spark, sf),
         (),
         by=["pole_id", "start_time"],
@@ -343,8 +339,6 @@ def _pipeline_inputs(spark, sf):
 )
 def _pole_trials(spark, sf):
     deployments, samples, disturbances = _pipeline_inputs(spark, sf)
-    from turbilux.plans.pole_trials import usable_deployments
-
     trials = pole_trials(
         usable_deployments(deployments),
         samples,
@@ -383,10 +377,9 @@ def _pole_trials(spark, sf):
        from u""",
 )
 def _trial_series(spark, sf):
-    from turbilux.plans.pole_trials import usable_deployments
-
     deployments, samples, disturbances = _pipeline_inputs(spark, sf)
-    trials = planned_trials(usable_deployments(deployments), samples, disturbances, EXCLUDED_DAYS)
+    usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
+    trials = stage(planned_trials(usable, sample_extents(samples, usable), disturbances))
     return rounded(trial_series(trials, samples, window_width=2, zero_light="skip"))
 
 

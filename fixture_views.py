@@ -203,7 +203,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         quoted,
         F.concat(header(True, "-05:00", ["Button Down", "Button Up", "Host Connected", "End Of File"]), F.lit("\r")),
     ).otherwise(header(False, "-06:00", ["Stopped", "End Of File"]))
-    titles = F.when(quoted, F.concat(F.lit('﻿"Plot Title: '), sn, F.lit('"\r'))).otherwise(
+    titles = F.when(quoted, F.concat(F.lit('\ufeff"Plot Title: '), sn, F.lit('"\r'))).otherwise(
         F.concat(F.lit("Plot Title: "), sn, F.lit(",,,,,"))
     )
     time = (

@@ -7,22 +7,38 @@ from pyspark.sql import functions as F
 
 from turbilux.functions.missing import as_column
 
-# The layouts logger exports and sheets use.
-LOGGER_TIME_FORMATS = ("M/d/yy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm")
-DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy")
+def _wall_clock(year, month, day, hour, minute, second) -> Column:
+    """NULL for anything that is no time; built from parts, so no zone ever applies."""
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
 
 
-def _first_parse(text: Column, formats: tuple[str, ...]) -> Column:
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats))
+def _parts(text: Column, separators: str):
+    pieces = F.split(text, separators)
 
+    def whole(i: int, absent: int | None = None) -> Column:
+        piece = F.get(pieces, F.lit(i))
+        number = piece.try_cast("int")
+        return number if absent is None else F.when(piece.isNull(), F.lit(absent)).otherwise(number)
 
-def parse_logger_timestamp(c: Column | str, formats: tuple[str, ...] = LOGGER_TIME_FORMATS) -> Column:
-    """``09/25/22 07:01:00 AM`` or ``11/9/2022 12:30`` to a wall-clock timestamp."""
-    return _first_parse(F.trim(as_column(c)), formats).cast("timestamp_ntz")
+    return whole
 
 
-def parse_date(c: Column | str, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    return _first_parse(F.trim(as_column(c)), formats).cast("date")
+def parse_logger_timestamp(c: Column | str) -> Column:
+    """``09/25/22 07:01:00 AM``, ``11/9/2022 12:30`` or ``11/9/2022 12:30:20`` to a wall-clock timestamp."""
+    text = F.trim(as_column(c))
+    part = _parts(text, "[/: ]")
+    hour = F.when(text.endswith("PM"), part(3) % 12 + 12).when(text.endswith("AM"), part(3) % 12).otherwise(part(3))
+    year = F.when(part(2) < 100, part(2) + 2000).otherwise(part(2))
+    return _wall_clock(year, part(0), part(1), hour, part(4), part(5, absent=0))
+
+
+def parse_date(c: Column | str) -> Column:
+    """``2022-10-01`` or ``10/1/2022``."""
+    text = F.trim(as_column(c))
+    part = _parts(text, "/")
+    zero = F.lit(0)
+    us = _wall_clock(part(2), part(0), part(1), zero, zero, zero).cast("date")
+    return F.when(F.contains(text, F.lit("/")), us).otherwise(text.try_cast("date"))
 
 
 def date_plus_time(date: Column | str, time: Column | str) -> Column:
@@ -35,8 +51,9 @@ def date_plus_time(date: Column | str, time: Column | str) -> Column:
 
 def date_plus_time_text(date: Column | str, time: Column | str) -> Column:
     """As ``date_plus_time`` for times kept as ``H:mm`` or ``H:mm:ss`` text."""
-    text = F.concat_ws(" ", as_column(date).cast("string"), F.trim(as_column(time)))
-    return _first_parse(text, ("yyyy-MM-dd H:mm:ss", "yyyy-MM-dd H:mm")).cast("timestamp_ntz")
+    d = as_column(date)
+    part = _parts(F.trim(as_column(time)), ":")
+    return _wall_clock(F.year(d), F.month(d), F.dayofmonth(d), part(0), part(1), part(2, absent=0))
 
 
 def date_of(ts: Column | str) -> Column:

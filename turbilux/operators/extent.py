@@ -8,18 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turbilux.functions.times import seconds_between
+from turbilux.operators.joins import lookup_join
 
 
 def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows but each file's last (``order`` must be unique within the file).
 
-    A join with the per-file maximum instead of a window: the maximum is pre-aggregated
+    A lookup of the per-file maximum instead of a window: the maximum is pre-aggregated
     and a file of any size stays split over many tasks.
     """
     file = list(file)
     position = F.struct(*order)
     last = df.groupBy(*file).agg(F.max(position).alias("_last"))
-    return df.join(last, file).filter(position < F.col("_last")).drop("_last")
+    return lookup_join(df, last, file, spread_by=order).filter(position < F.col("_last")).drop("_last")
 
 
 def file_extent(

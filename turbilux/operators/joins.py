@@ -20,8 +20,8 @@ SALTS = 16
 
 
 def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; only a count reaches the driver."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows; counted in place, only a number reaches the driver."""
+    return df.count() <= rows
 
 
 def lookup_join(
@@ -39,7 +39,7 @@ def lookup_join(
 
     ``spread_by`` names fact columns that differ within a hot key; their hash picks
     the salt in the shuffle variant.  ``lookup_rows`` is a known upper bound of the
-    lookup's rows; without it they are counted, up to the limit.
+    lookup's rows; without it they are counted.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup_join keeps the fact side: use inner or left")

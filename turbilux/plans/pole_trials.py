@@ -41,37 +41,36 @@ def usable_deployments(deployments: DataFrame, path_prefix: str = "../") -> Data
     return exclude_matching(prefix_path(kept, PATH, path_prefix), PATH, "deprecated")
 
 
-def with_file_extent(deployments: DataFrame, samples: DataFrame) -> DataFrame:
-    """Adds the time span and sampling interval of each deployment's file."""
+def sample_extents(samples: DataFrame, deployments: DataFrame | None = None) -> DataFrame:
+    """Time span and sampling interval per ``file_path``, from clean samples without the last.
+
+    Given deployments, files that none of them names stay out of the aggregation (while
+    their list is small enough to broadcast).
+    """
     readings = drop_any_null_rows(drop_event_rows(samples).select("file_path", "number", "date_time", "temp_f", LIGHT))
-    used = deployments.select(F.col(PATH).alias("file_path")).distinct()
-    if fits(used, BROADCAST_ROWS):
-        # leaves files no deployment names out of the aggregation
-        readings = readings.join(F.broadcast(used), ["file_path"], "left_semi")
-    extent = file_extent(readings).withColumnRenamed("file_path", PATH)
-    return deployments.join(extent, [PATH], "left")
+    if deployments is not None:
+        used = deployments.select(F.col(PATH).alias("file_path"))
+        if fits(used, BROADCAST_ROWS):
+            readings = readings.join(F.broadcast(used), ["file_path"], "left_semi")
+    return file_extent(readings)
 
 
-def pole_deployments(deployments: DataFrame, samples: DataFrame) -> DataFrame:
+def pole_deployments(deployments: DataFrame, extents: DataFrame) -> DataFrame:
     """One row per pole and day: common time span, and file, name and notes per logger.
 
     Harmonising and pivoting share one aggregation, done before trials multiply the rows.
     """
-    wide = pivot_loggers(
-        with_file_extent(deployments, samples), ["date", "point_name"], WIDE_VALUES, extra=common_extent()
-    )
-    return wide.drop("n_1", "n_2", "n_3")
+    dated = deployments.join(extents.withColumnRenamed("file_path", PATH), [PATH], "left")
+    return pivot_loggers(dated, ["date", "point_name"], WIDE_VALUES, extra=common_extent()).drop("n_1", "n_2", "n_3")
 
 
 def planned_trials(
     deployments: DataFrame,
-    samples: DataFrame,
+    extents: DataFrame,
     disturbances: DataFrame,
-    excluded_dates: Sequence[str] = EXCLUDED_TRIAL_DATES,
 ) -> DataFrame:
-    """Poles with the disturbances of their day; excluded days go before any file is read."""
-    poles = pole_deployments(exclude_dates(deployments, excluded_dates), samples)
-    return join_disturbances(poles, disturbances).withColumn(
+    """Poles with the disturbances of their day, before any light is looked at."""
+    return join_disturbances(pole_deployments(deployments, extents), disturbances).withColumn(
         "sliding_window_width", rolling_width("measurement_interval")
     )
 
@@ -85,8 +84,16 @@ def trial_loggers(trials: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def deployed_loggers(deployments: DataFrame, disturbances: DataFrame) -> DataFrame:
+    """``trial_loggers`` straight from the sheets: no file, no pivot needed."""
+    loggers = deployments.filter(F.col("logger_number_per_pole").isin(1, 2)).select(
+        "date", "point_name", F.col("logger_number_per_pole").alias("logger_number"), F.col(PATH).alias("file_path")
+    )
+    return loggers.join(disturbances.select("date", "disturbance_number", "start_time", "end_time"), "date")
+
+
 def trial_means(
-    trials: DataFrame,
+    loggers: DataFrame,
     samples: DataFrame,
     pair_keys: Sequence[str] = SAMPLE_KEYS,
     zero_light: str = "ieee",
@@ -94,9 +101,7 @@ def trial_means(
 ) -> DataFrame:
     """Mean attenuation of each trial that has sample pairs: one scan of the samples."""
     columns = ["file_path", "number", "date_time", LIGHT] + ([day] if day else [])
-    inside = samples_in_windows(
-        samples.select(*columns), trial_loggers(trials), ["file_path"], spread_by=["number"], day=day
-    )
+    inside = samples_in_windows(samples.select(*columns), loggers, ["file_path"], spread_by=["number"], day=day)
     if "number" in pair_keys:
         pairs = pair_samples(inside, [*TRIAL, *pair_keys], [LIGHT])
     else:
@@ -114,12 +119,20 @@ def pole_trials(
     disturbances: DataFrame,
     problems: DataFrame,
     *,
+    extents: DataFrame | None = None,
     excluded_dates: Sequence[str] = EXCLUDED_TRIAL_DATES,
     pair_keys: Sequence[str] = SAMPLE_KEYS,
     zero_light: str = "ieee",
     day: str | None = None,
 ) -> DataFrame:
-    """The trial table.  Trials without a pair of loggers or samples keep a NULL mean."""
-    trials = planned_trials(deployments, samples, disturbances, excluded_dates)
-    means = trial_means(trials, samples, pair_keys, zero_light, day)
+    """The trial table.  Trials without a pair of loggers or samples keep a NULL mean.
+
+    ``deployments`` are usable ones.  Excluded days go before any sample is read.  Pass
+    stored ``extents`` (``sample_extents`` of the stored samples) to save their scans.
+    """
+    deployments = exclude_dates(deployments, excluded_dates)
+    if extents is None:
+        extents = sample_extents(samples, deployments)
+    trials = planned_trials(deployments, extents, disturbances)
+    means = trial_means(deployed_loggers(deployments, disturbances), samples, pair_keys, zero_light, day)
     return join_problem_poles(trials.join(means, list(TRIAL), "left"), problems)

@@ -51,7 +51,8 @@ def trial_series(
 ) -> DataFrame:
     """Long series: one row per trial, sample and logger.
 
-    ``window_width`` overrides the trials' own ``sliding_window_width``.  The longest
+    ``trials`` should be stored or staged (``sources.tables.stage``): it is read for the
+    bounds, for the windows' size check and for the join.  ``window_width`` overrides the trials' own ``sliding_window_width``.  The longest
     window and its interval (trial metadata, one row to the driver) bound the rows of a
     series and choose between the plain and the blocked rolling mean.
     """

@@ -30,7 +30,7 @@ USUAL_PLACES = {"number": 1, "date_time": 2, "temp_f": 3, "intensity_lum_ft2": 4
 
 def _text_lines(lines: DataFrame) -> DataFrame:
     """``file_path`` and the line without byte-order mark and Windows line end."""
-    return lines.select("file_path", F.regexp_replace("value", "^﻿|\r$", "").alias("line"))
+    return lines.select("file_path", F.btrim("value", F.lit("\ufeff\r")).alias("line"))
 
 
 def _optional(text: Column) -> Column:

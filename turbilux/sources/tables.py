@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,19 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage, in the cluster's shared checkpoint folder.
+
+    For small tables several jobs read.  Only where the cluster names no folder (local
+    runs) a temporary one is set.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="turbilux-checkpoint-"))
+    return df.checkpoint(eager=True)
+
+
 def save_samples(samples: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store logger samples by calendar day, so that trial windows prune the scan."""
     save_table(samples.withColumn(SAMPLE_DAY, F.to_date("date_time")), path, [SAMPLE_DAY], mode)
