@@ -12,6 +12,7 @@ from turbilux.functions.geometry import polar_x, polar_y
 from turbilux.operators.joins import left_join_on, samples_in_windows
 from turbilux.operators.pairing import mean_attenuation, pair_samples
 from turbilux.sources.metadata import COORDINATE_TYPES, clean_metadata
+from turbilux.sources.tables import stage
 
 TRIAL_BY_POLE = ("date", "disturbance_number", "pole_id")
 
@@ -49,7 +50,10 @@ def reading_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def disturbances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three trials of six hours on every day that has events."""
+    """Three trials of six hours on every day that has events.
+
+    Staged, as a sheet would be stored: its users count it and join it.
+    """
     days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct()
     trials = days.withColumn("disturbance_number", F.explode(F.sequence(F.lit(1), F.lit(3))))
     midnight = F.col("date").cast("timestamp_ntz")
@@ -58,7 +62,11 @@ def disturbances(spark: SparkSession, sf_dir: str) -> DataFrame:
         return midnight + F.make_dt_interval(F.lit(0), hour)
 
     first_hour = (F.col("disturbance_number") - 1) * 8
-    return trials.select("date", "disturbance_number", at(first_hour + 1).alias("start_time"), at(first_hour + 7).alias("end_time"))
+    return stage(
+        trials.select(
+            "date", "disturbance_number", at(first_hour + 1).alias("start_time"), at(first_hour + 7).alias("end_time")
+        )
+    )
 
 
 def trial_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,11 +139,11 @@ def file_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deployment_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One logger file per pole, logger and day; very bright files have an issue."""
+    """One logger file per pole, logger and day; very bright files have an issue (staged, a sheet)."""
     files = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("date")).agg(
         F.max("value").alias("brightest"), F.max("event_type").alias("notes")
     )
-    return files.select(
+    sheet = files.select(
         "date",
         F.floor(F.col("user_id") / 2).cast("bigint").cast("string").alias("point_name"),
         ((F.col("user_id") % 2).cast("int") + 1).alias("logger_number_per_pole"),
@@ -144,6 +152,7 @@ def deployment_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "notes",
         F.when(F.col("brightest") > 150, F.lit("too bright")).alias("data_issue"),
     )
+    return stage(sheet)
 
 
 def problem_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

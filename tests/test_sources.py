@@ -67,6 +67,7 @@ def test_headers(spark, logs):
     assert heads["20980"].names[:4] == [
         "number", "date_time_gmt_05_00", "temp_f_lgr_s_n_20980_sen_s_n_20980", "intensity_lum_ft2_lgr_s_n_20980_sen_s_n_20980",
     ]
+    assert [r.logger_sn for r in LF.unusual_headers(lines).collect()] == ["20981"]
     assert heads["20981"].temp_f_place == 4 and heads["20981"].intensity_lum_ft2_place == 3
 
 

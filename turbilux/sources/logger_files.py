@@ -54,6 +54,14 @@ def parse_headers(lines: DataFrame) -> DataFrame:
     ).select("*", *(place(p) for p in USUAL_PLACES))
 
 
+def unusual_headers(lines: DataFrame) -> DataFrame:
+    """Files whose columns are not at ``USUAL_PLACES``; empty means the one-pass parse is safe."""
+    usual = F.lit(True)
+    for name, place in USUAL_PLACES.items():
+        usual = usual & F.col(f"{name}_place").eqNullSafe(F.lit(place))
+    return parse_headers(lines).filter(~usual)
+
+
 def _sample_fields(lines: DataFrame) -> DataFrame:
     line = F.col("line")
     # the slower pattern runs only on lines with quotes
