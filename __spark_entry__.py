@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import fixture_views as V  # noqa: E402
-from oracle_views import with_views  # noqa: E402
+from oracle_views import r6, track_level, track_of, with_views, zone_level, zone_of  # noqa: E402
 from turbilux.functions.geometry import track_ordinal, trial_title, zone_ordinal  # noqa: E402
 from turbilux.functions.light import rolling_width  # noqa: E402
 from turbilux.functions.times import date_plus_time, parse_date, parse_logger_timestamp, wall_seconds  # noqa: E402
@@ -81,7 +81,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query(
     "mean_attenuation",
-    "select date, disturbance_number, pole_id, r6(light_attenuation_mean) light_attenuation_mean from v_att",
+    f"select date, disturbance_number, pole_id, {r6('light_attenuation_mean')} light_attenuation_mean from v_att",
 )
 def _mean_attenuation(spark, sf):
     return rounded(V.attenuation(spark, sf))
@@ -89,7 +89,7 @@ def _mean_attenuation(spark, sf):
 
 @query(
     "mean_intensity",
-    """select d.date, d.disturbance_number, r.pole_id, r.logger_number, r6(avg(r.intensity)) mean_intensity
+    f"""select d.date, d.disturbance_number, r.pole_id, r.logger_number, {r6('avg(r.intensity)')} mean_intensity
        from v_readings r join v_disturbances d on r.slot_ts >= d.start_time and r.slot_ts < d.end_time
        group by 1, 2, 3, 4""",
 )
@@ -117,9 +117,9 @@ def _pairing_report(spark, sf):
 
 @query(
     "legacy_pairing",
-    """select pole_id, start_time, cast(start_time as date) date,
-              r6(i1) logger_1_intensity, r6(i2) logger_2_intensity,
-              r6(100 * (i2 - i1) / nullif(i1, 0)) light_attenuation
+    f"""select pole_id, start_time, cast(start_time as date) date,
+              {r6('i1')} logger_1_intensity, {r6('i2')} logger_2_intensity,
+              {r6('100 * (i2 - i1) / nullif(i1, 0)')} light_attenuation
        from v_legacy_pairs""",
 )
 def _legacy_pairing(spark, sf):
@@ -146,10 +146,10 @@ def _xy(spark, sf):
     return V.pole_places(spark, sf)
 
 
-LEGACY_HEATMAP = """select p.pole_id, p.start_time, cast(p.start_time as date) date,
-              r6(p.i1) logger_1_intensity, r6(p.i2) logger_2_intensity,
-              r6(100 * (p.i2 - p.i1) / nullif(p.i1, 0)) light_attenuation,
-              r6(c.coord_x) coord_x, r6(c.coord_y) coord_y, r6(-c.coord_x) map_x
+LEGACY_HEATMAP = f"""select p.pole_id, p.start_time, cast(p.start_time as date) date,
+              {r6('p.i1')} logger_1_intensity, {r6('p.i2')} logger_2_intensity,
+              {r6('100 * (p.i2 - p.i1) / nullif(p.i1, 0)')} light_attenuation,
+              {r6('c.coord_x')} coord_x, {r6('c.coord_y')} coord_y, {r6('-c.coord_x')} map_x
        from v_legacy_pairs p left join v_xy c on p.pole_id = c.pole_id"""
 
 
@@ -178,8 +178,8 @@ KEPT_ROWS = """(select * from (select *, row_number() over (partition by user_id
 
 @query(
     "file_extent",
-    f"""select user_id, first_date_time, last_date_time, r6(measurement_interval) measurement_interval,
-               r6(300 / measurement_interval + 1) sliding_window_width
+    f"""select user_id, first_date_time, last_date_time, {r6('measurement_interval')} measurement_interval,
+               {r6('300 / measurement_interval + 1')} sliding_window_width
         from ({EXTENT.format(rows=KEPT_ROWS)}) e""",
 )
 def _file_extent(spark, sf):
@@ -192,7 +192,7 @@ def _extents(spark, sf):
 
 @query(
     "file_extent_whole",
-    f"select user_id, first_date_time, last_date_time, r6(measurement_interval) measurement_interval from ({EXTENT.format(rows='events')}) e",
+    f"select user_id, first_date_time, last_date_time, {r6('measurement_interval')} measurement_interval from ({EXTENT.format(rows='events')}) e",
 )
 def _file_extent_whole(spark, sf):
     return rounded(file_extent(V.table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "ts", drop_last=False))
@@ -208,7 +208,7 @@ def _drop_last_row(spark, sf):
     "harmonise_extent",
     f"""select user_id, cast(floor(user_id / 2) as bigint) pole_id,
                max(first_date_time) over p first_date_time, min(last_date_time) over p last_date_time,
-               r6(min(measurement_interval) over p) measurement_interval
+               {r6('min(measurement_interval) over p')} measurement_interval
         from ({EXTENT.format(rows=KEPT_ROWS)}) e
         window p as (partition by floor(user_id / 2))""",
 )
@@ -232,11 +232,11 @@ def _clean_wide_log(spark, sf):
 
 @query(
     "logger_ingest",
-    """select 'logs/' || user_id || '_export.csv' file_path, cast(user_id as varchar) logger_sn,
+    f"""select 'logs/' || user_id || '_export.csv' file_path, cast(user_id as varchar) logger_sn,
               case when user_id % 3 = 0 then '-05:00' else '-06:00' end gmt_offset,
               cast(event_id as integer) "number",
               case when user_id % 3 = 1 then date_trunc('minute', ts) else date_trunc('second', ts) end date_time,
-              r6(round(value + 60, 2)) temp_f, r6(value) intensity_lum_ft2, event_type = 'error' is_event
+              {r6('round(value + 60, 2)')} temp_f, {r6('value')} intensity_lum_ft2, event_type = 'error' is_event
        from events""",
 )
 def _logger_ingest(spark, sf):
@@ -245,10 +245,10 @@ def _logger_ingest(spark, sf):
 
 @query(
     "logger_ingest_usual_layout",
-    """select 'logs/' || user_id || '_export.csv' file_path, cast(user_id as varchar) logger_sn,
+    f"""select 'logs/' || user_id || '_export.csv' file_path, cast(user_id as varchar) logger_sn,
               cast(event_id as integer) "number",
               case when user_id % 3 = 1 then date_trunc('minute', ts) else date_trunc('second', ts) end date_time,
-              r6(round(value + 60, 2)) temp_f, r6(value) intensity_lum_ft2, event_type = 'error' is_event
+              {r6('round(value + 60, 2)')} temp_f, {r6('value')} intensity_lum_ft2, event_type = 'error' is_event
        from events""",
 )
 def _logger_ingest_usual(spark, sf):
@@ -324,21 +324,21 @@ def _metadata_clean(spark, sf):
 # --- the full trial pipeline ---------------------------------------------------------
 
 
-def _pipeline_inputs(spark, sf):
+def _study_inputs(spark, sf):
     return V.deployment_sheet(spark, sf), V.file_samples(spark, sf), V.disturbances(spark, sf)
 
 
 @query(
     "pole_trials",
-    """select date, point_name, disturbance_number, start_time, end_time, first_date_time, last_date_time,
-              r6(measurement_interval) measurement_interval, r6(300 / measurement_interval + 1) sliding_window_width,
+    f"""select date, point_name, disturbance_number, start_time, end_time, first_date_time, last_date_time,
+              {r6('measurement_interval')} measurement_interval, {r6('300 / measurement_interval + 1')} sliding_window_width,
               path_1 lightlogger_file_path_1, path_2 lightlogger_file_path_2,
               name_1 lightlogger_file_name_1, name_2 lightlogger_file_name_2, notes_1, notes_2,
-              r6(light_attenuation_mean) light_attenuation_mean, problem
+              {r6('light_attenuation_mean')} light_attenuation_mean, problem
        from v_pole_trials""",
 )
 def _pole_trials(spark, sf):
-    deployments, samples, disturbances = _pipeline_inputs(spark, sf)
+    deployments, samples, disturbances = _study_inputs(spark, sf)
     trials = pole_trials(
         usable_deployments(deployments),
         samples,
@@ -352,7 +352,7 @@ def _pole_trials(spark, sf):
 
 @query(
     "trial_series",
-    """with p as (
+    f"""with p as (
          select t.date, t.point_name, t.disturbance_number, a."number", a.date_time,
                 a.temp_f t1, b.temp_f t2, a.intensity_lum_ft2 i1, b.intensity_lum_ft2 i2
          from v_pole_trials t
@@ -370,14 +370,14 @@ def _pole_trials(spark, sf):
          select *, '1' logger_id, t1 temp_f, i1 intensity, r1 rollmean from l union all
          select *, '2' logger_id, t2, i2, r2 from l)
        select date, point_name, disturbance_number, "number", date_time, logger_id,
-              r6(temp_f) temp_f, r6(intensity) intensity_lum_ft2, r6(rollmean) intensity_lum_ft2_rollmean,
-              r6(pct) light_attenuation_pct, r6(roll_pct) light_attenuation_rollmean_pct,
-              r6(pct * 100) attenuation_on_axis, r6(roll_pct * 100) attenuation_rollmean_on_axis,
+              {r6('temp_f')} temp_f, {r6('intensity')} intensity_lum_ft2, {r6('rollmean')} intensity_lum_ft2_rollmean,
+              {r6('pct')} light_attenuation_pct, {r6('roll_pct')} light_attenuation_rollmean_pct,
+              {r6('pct * 100')} attenuation_on_axis, {r6('roll_pct * 100')} attenuation_rollmean_on_axis,
               cast(date as varchar) || ', Pole ' || point_name || ', Disturbance ' || disturbance_number title
        from u""",
 )
 def _trial_series(spark, sf):
-    deployments, samples, disturbances = _pipeline_inputs(spark, sf)
+    deployments, samples, disturbances = _study_inputs(spark, sf)
     usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
     trials = stage(planned_trials(usable, sample_extents(samples, usable), disturbances))
     return rounded(trial_series(trials, samples, window_width=2, zero_light="skip"))
@@ -385,9 +385,9 @@ def _trial_series(spark, sf):
 
 @query(
     "rolling_mean",
-    """select pole_id, slot_ts, r6(i1) intensity_1, r6(i2) intensity_2,
-              r6(case when count(i1) over f = 4 then avg(i1) over f end) intensity_rollmean_1,
-              r6(case when count(i2) over f = 4 then avg(i2) over f end) intensity_rollmean_2
+    f"""select pole_id, slot_ts, {r6('i1')} intensity_1, {r6('i2')} intensity_2,
+              {r6('case when count(i1) over f = 4 then avg(i1) over f end')} intensity_rollmean_1,
+              {r6('case when count(i2) over f = 4 then avg(i2) over f end')} intensity_rollmean_2
        from (select a.pole_id, a.slot_ts, a.intensity i1, b.intensity i2
              from v_readings a join v_readings b on a.pole_id = b.pole_id and a.slot_ts = b.slot_ts
              where a.logger_number = 1 and b.logger_number = 2) p
@@ -410,10 +410,10 @@ def _rolling_mean(spark, sf):
 
 @query(
     "pivot_poles",
-    """select pole_id, slot_ts,
-              r6(max(case when logger_number = 1 then intensity end)) intensity_1,
-              r6(max(case when logger_number = 2 then intensity end)) intensity_2,
-              r6(max(case when logger_number = 3 then intensity end)) intensity_3
+    f"""select pole_id, slot_ts,
+              {r6('max(case when logger_number = 1 then intensity end)')} intensity_1,
+              {r6('max(case when logger_number = 2 then intensity end)')} intensity_2,
+              {r6('max(case when logger_number = 3 then intensity end)')} intensity_3
        from v_readings group by 1, 2""",
 )
 def _pivot_poles(spark, sf):
@@ -425,7 +425,7 @@ def _pivot_poles(spark, sf):
 
 @query(
     "unpivot_series",
-    """select pole_id, slot_ts, cast(logger_number as varchar) logger_id, r6(intensity) intensity from v_readings""",
+    f"""select pole_id, slot_ts, cast(logger_number as varchar) logger_id, {r6('intensity')} intensity from v_readings""",
 )
 def _unpivot_series(spark, sf):
     return rounded(unpivot_loggers(_pivot_poles(spark, sf).drop("intensity_3"), ["intensity"]).filter("intensity is not null"))
@@ -436,8 +436,8 @@ def _unpivot_series(spark, sf):
 
 @query(
     "coordinates",
-    """select date, disturbance_id, line_id, point_name, point_id, r6(angle_degrees) angle_degrees,
-              r6(radians(angle_degrees)) angle_radians, r6(coord_x) coord_x, r6(coord_y) coord_y
+    f"""select date, disturbance_id, line_id, point_name, point_id, {r6('angle_degrees')} angle_degrees,
+              {r6('radians(angle_degrees)')} angle_radians, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y
        from v_coordinates""",
 )
 def _coordinates(spark, sf):
@@ -447,14 +447,14 @@ def _coordinates(spark, sf):
     )
 
 
-@query("border_split", "select pole_id, r6(coord_x) coord_x, r6(coord_y) coord_y from v_split where coord_x <= 300 and coord_y <= 200")
+@query("border_split", f"select pole_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_split where coord_x <= 300 and coord_y <= 200")
 def _border_split(spark, sf):
     return rounded(clip_to_site(split_on_borders(V.pole_places(spark, sf))))
 
 
 @query(
     "legacy_border_split",
-    "select pole_id, r6(coord_x) coord_x, r6(coord_y) coord_y from v_split_legacy where coord_x <= 300 and coord_y <= 200",
+    f"select pole_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_split_legacy where coord_x <= 300 and coord_y <= 200",
 )
 def _legacy_border_split(spark, sf):
     return rounded(clip_to_site(split_on_borders(V.pole_places(spark, sf), LEGACY_BORDER_WIDTH, LEGACY_BORDER_SHIFT)))
@@ -462,10 +462,10 @@ def _legacy_border_split(spark, sf):
 
 @query(
     "classify_cells",
-    """select pole_id, r6(coord_x) coord_x, r6(coord_y) coord_y, track, zone,
+    f"""select pole_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, track, zone,
               case track when '1' then 1 when '2' then 2 when '3' then 3 when 'U' then 4 end track_ordinal,
               case zone when 'U' then 1 when 'A' then 2 when 'B' then 3 when 'C' then 4 end zone_ordinal
-       from (select pole_id, coord_x, coord_y, track_of(coord_x) track, zone_of(coord_y) zone from v_split) s""",
+       from (select pole_id, coord_x, coord_y, {track_of('coord_x')} track, {zone_of('coord_y')} zone from v_split) s""",
 )
 def _classify_cells(spark, sf):
     placed = C.classify(split_on_borders(V.pole_places(spark, sf)))
@@ -476,8 +476,8 @@ def _classify_cells(spark, sf):
 
 @query(
     "disturbance_segments",
-    """select r6(coord_x) coord_x, r6(coord_y) coord_y, point_name, date, disturbance_id disturbance_number,
-              track_of(coord_x) track, zone_of(coord_y) zone,
+    f"""select {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, point_name, date, disturbance_id disturbance_number,
+              {track_of('coord_x')} track, {zone_of('coord_y')} zone,
               case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 2.5 when 150 then 1.5 when 250 then 0.5 end x,
               case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 3.5 when 150 then 2.5 when 250 then 1.5 end xend,
               case coord_y when 0 then 1.5 when 100 then 3.5 when 25 then 1.5 when 75 then 2.5 when 150 then 3.5 end y,
@@ -490,8 +490,8 @@ def _disturbance_segments(spark, sf):
 
 @query(
     "pole_map",
-    """select date, disturbance_id, line_id, point_name, point_id, r6(coord_x) coord_x, r6(coord_y) coord_y,
-              r6(-coord_x) map_x
+    f"""select date, disturbance_id, line_id, point_name, point_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y,
+              {r6('-coord_x')} map_x
        from v_coordinates""",
 )
 def _pole_map(spark, sf):
@@ -503,8 +503,8 @@ def _pole_map(spark, sf):
 
 @query(
     "pole_map_one_date",
-    """select date, disturbance_id, line_id, point_name, point_id, r6(coord_x) coord_x, r6(coord_y) coord_y,
-              r6(-coord_x) map_x
+    f"""select date, disturbance_id, line_id, point_name, point_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y,
+              {r6('-coord_x')} map_x
        from v_coordinates where date = date '2022-07-01'""",
 )
 def _pole_map_one(spark, sf):
@@ -523,64 +523,71 @@ def _cells(spark, sf, filtered=False, min_mean=0.0):
     )
 
 
-# SQL pieces shared by the unfiltered and the filtered variant ({cells} is the view)
-CELL_SQL = """select date, disturbance_number, track, zone, r6(mean_light_attenuation) mean_light_attenuation,
-       r6(sd_light_attenuation) sd_light_attenuation, n, r6(sum_light_attenuation) sum_light_attenuation from {cells}"""
-DAY_SQL = """select date, track, zone, avg(mean_light_attenuation) mean_light_attenuation,
+def cell_sql(cells: str) -> str:
+    return f"""select date, disturbance_number, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
+       {r6('sd_light_attenuation')} sd_light_attenuation, n, {r6('sum_light_attenuation')} sum_light_attenuation from {cells}"""
+
+
+def per_day_sql(cells: str, n: str = "count(*)") -> str:
+    return f"""(select date, track, zone, avg(mean_light_attenuation) mean_light_attenuation,
        stddev_samp(sd_light_attenuation) sd_light_attenuation, {n} n, sum(sum_light_attenuation) sum_light_attenuation
-       from {cells} group by 1, 2, 3"""
-DAY_MEAN_SQL = (
-    "select date, track, zone, r6(mean_light_attenuation) mean_light_attenuation, r6(sd_light_attenuation) sd_light_attenuation, n from ("
-    + DAY_SQL.replace("{n}", "count(*)")
-    + ") d"
-)
-DAY_SUM_SQL = (
-    "select date, track, zone, r6(mean_light_attenuation) mean_light_attenuation, r6(sd_light_attenuation) sd_light_attenuation, n, r6(sum_light_attenuation) sum_light_attenuation from ("
-    + DAY_SQL.replace("{n}", "cast(sum(n) as bigint)")
-    + ") d"
-)
-EXPERIMENT_SQL = (
-    """select track, zone, r6(avg(mean_light_attenuation)) mean_light_attenuation,
-       r6(stddev_samp(sd_light_attenuation)) sd_light_attenuation from ("""
-    + DAY_SQL.replace("{n}", "count(*)")
-    + ") d group by 1, 2"
-)
-TILE_SQL = """select t.*, t.{fill} fill, round_even(t.{label}, 0) + 0.0 as label,
-       track_level(track) - 0.5 xmin, track_level(track) + 0.5 xmax, zone_level(zone) - 0.5 ymin, zone_level(zone) + 0.5 ymax
+       from {cells} group by 1, 2, 3) d"""
+
+
+def day_mean_sql(cells: str) -> str:
+    return f"""select date, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
+       {r6('sd_light_attenuation')} sd_light_attenuation, n from {per_day_sql(cells)}"""
+
+
+def day_sum_sql(cells: str) -> str:
+    return f"""select date, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
+       {r6('sd_light_attenuation')} sd_light_attenuation, n, {r6('sum_light_attenuation')} sum_light_attenuation
+       from {per_day_sql(cells, 'cast(sum(n) as bigint)')}"""
+
+
+def experiment_sql(cells: str) -> str:
+    return f"""select track, zone, {r6('avg(mean_light_attenuation)')} mean_light_attenuation,
+       {r6('stddev_samp(sd_light_attenuation)')} sd_light_attenuation from {per_day_sql(cells)} group by 1, 2"""
+
+
+def heatmap_sql(inner: str, fill: str, label: str) -> str:
+    return f"""select t.*, t.{fill} fill, round_even(t.{label}, 0) + 0.0 as label,
+       {track_level('track')} - 0.5 xmin, {track_level('track')} + 0.5 xmax,
+       {zone_level('zone')} - 0.5 ymin, {zone_level('zone')} + 0.5 ymax
        from ({inner}) t"""
 
 
+# roll-up -> (Spark, SQL, heatmaps of it: name -> fill and label)
+ROLLUPS = {
+    "cell_stats": (
+        lambda cells: cells,
+        cell_sql,
+        {"cell_mean": ("mean_light_attenuation", "mean_light_attenuation"), "cell_sum": ("sum_light_attenuation", "n")},
+    ),
+    "day_mean": (C.day_mean, day_mean_sql, {"day_mean": ("mean_light_attenuation", "mean_light_attenuation")}),
+    "day_sum": (C.day_sum, day_sum_sql, {"day_sum": ("sum_light_attenuation", "n")}),
+    "experiment_mean": (
+        C.experiment_mean,
+        experiment_sql,
+        {"experiment_mean": ("mean_light_attenuation", "mean_light_attenuation")},
+    ),
+}
+
+
 def _register_rollups() -> None:
-    tables = {
-        "cell_stats": (lambda c: c, CELL_SQL),
-        "day_mean": (C.day_mean, DAY_MEAN_SQL),
-        "day_sum": (C.day_sum, DAY_SUM_SQL),
-        "experiment_mean": (C.experiment_mean, EXPERIMENT_SQL),
-    }
-    for name, (roll, sql) in tables.items():
+    for name, (roll, sql, drawn) in ROLLUPS.items():
         for filtered in (False, True):
             if name == "experiment_mean" and filtered:
                 continue
-            suffix, view = ("_filtered", "v_cells_filtered") if filtered else ("", "v_cells")
-            query(name + suffix, sql.replace("{cells}", view))(
+            suffix = "_filtered" if filtered else ""
+            inner = sql("v_cells" + suffix)
+            rollup = query(name + suffix, inner)(
                 lambda spark, sf, roll=roll, filtered=filtered: rounded(roll(_cells(spark, sf, filtered)))
             )
-    tiles = {
-        "cell_mean": ("cell_stats", "mean_light_attenuation", "mean_light_attenuation"),
-        "cell_sum": ("cell_stats", "sum_light_attenuation", "n"),
-        "day_mean": ("day_mean", "mean_light_attenuation", "mean_light_attenuation"),
-        "day_sum": ("day_sum", "sum_light_attenuation", "n"),
-        "experiment_mean": ("experiment_mean", "mean_light_attenuation", "mean_light_attenuation"),
-    }
-    for name, (base, fill, label) in tiles.items():
-        for suffix in ("", "_filtered"):
-            if base + suffix not in QUERIES:
-                continue
-            inner = tables[base][1].replace("{cells}", "v_cells" + suffix)
-            sql = TILE_SQL.replace("{inner}", inner).replace("{fill}", fill).replace("{label}", label)
-            query(f"heatmap_{name}{suffix}", sql)(
-                lambda spark, sf, key=base + suffix, fill=fill, label=label: heatmap(QUERIES[key](spark, sf), fill, label)
-            )
+            for drawing, (fill, label) in drawn.items():
+                query(f"heatmap_{drawing}{suffix}", heatmap_sql(inner, fill, label))(
+                    lambda spark, sf, rollup=rollup, fill=fill, label=label: heatmap(rollup(spark, sf), fill, label)
+                )
 
 
 _register_rollups()
@@ -588,9 +595,9 @@ _register_rollups()
 
 @query(
     "cell_stats_all_means",
-    """select date, disturbance_number, track, zone, r6(avg(light_attenuation_mean)) mean_light_attenuation,
-              r6(stddev_samp(light_attenuation_mean)) sd_light_attenuation, count(*) n,
-              r6(sum(light_attenuation_mean)) sum_light_attenuation
+    f"""select date, disturbance_number, track, zone, {r6('avg(light_attenuation_mean)')} mean_light_attenuation,
+              {r6('stddev_samp(light_attenuation_mean)')} sd_light_attenuation, count(*) n,
+              {r6('sum(light_attenuation_mean)')} sum_light_attenuation
        from v_gridded group by 1, 2, 3, 4""",
 )
 def _cells_all_means(spark, sf):
@@ -600,8 +607,8 @@ def _cells_all_means(spark, sf):
 
 @query(
     "gridded_poles",
-    """select date, disturbance_number, pole_id, r6(light_attenuation_mean) light_attenuation_mean, problem,
-              r6(coord_x) coord_x, r6(coord_y) coord_y, track, zone
+    f"""select date, disturbance_number, pole_id, {r6('light_attenuation_mean')} light_attenuation_mean, problem,
+              {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, track, zone
        from v_gridded""",
 )
 def _gridded(spark, sf):
@@ -611,10 +618,10 @@ def _gridded(spark, sf):
 @query(
     "grid_tiles",
     f"""select g.track, g.zone, xmin, xmax, ymin, ymax, e.mean_light_attenuation, e.sd_light_attenuation
-        from (select track, zone, track_level(track) - 0.5 xmin, track_level(track) + 0.5 xmax,
-                     zone_level(zone) - 0.5 ymin, zone_level(zone) + 0.5 ymax
+        from (select track, zone, {track_level('track')} - 0.5 xmin, {track_level('track')} + 0.5 xmax,
+                     {zone_level('zone')} - 0.5 ymin, {zone_level('zone')} + 0.5 ymax
               from (values ('1'), ('2'), ('3')) t(track) cross join (values ('A'), ('B'), ('C')) z(zone)) g
-        left join ({EXPERIMENT_SQL.replace("{cells}", "v_cells")}) e on e.track = g.track and e.zone = g.zone""",
+        left join ({experiment_sql("v_cells")}) e on e.track = g.track and e.zone = g.zone""",
 )
 def _grid_tiles(spark, sf):
     return grid_with(QUERIES["experiment_mean"](spark, sf))
@@ -622,10 +629,10 @@ def _grid_tiles(spark, sf):
 
 @query(
     "points_in_cells",
-    """select i x, j y, count(p.pole_id) cnt
+    f"""select i x, j y, count(p.pole_id) cnt
        from (values (1, 0, 100), (2, 100, 200), (3, 200, 300)) xs(i, x0, x1)
        cross join (values (1, 0, 50), (2, 50, 100), (3, 100, 200)) ys(j, y0, y1)
-       left join (select pole_id, r6(coord_x) coord_x, r6(coord_y) coord_y from v_xy) p
+       left join (select pole_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_xy) p
          on p.coord_x between x0 and x1 and p.coord_y between y0 and y1
        group by 1, 2""",
 )
@@ -635,8 +642,8 @@ def _points_in_cells(spark, sf):
 
 @query(
     "count_by_snapped",
-    """select round_even(coord_x / 100, 0) * 100 + 0.0 as coord_x, round_even(coord_y / 100, 0) * 100 + 0.0 as coord_y, count(*) n
-       from (select r6(coord_x) coord_x, r6(coord_y) coord_y from v_xy) p group by 1, 2""",
+    f"""select round_even(coord_x / 100, 0) * 100 + 0.0 as coord_x, round_even(coord_y / 100, 0) * 100 + 0.0 as coord_y, count(*) n
+       from (select {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_xy) p group by 1, 2""",
 )
 def _count_by_snapped(spark, sf):
     return C.count_by_snapped(rounded(V.pole_places(spark, sf)))
@@ -644,7 +651,7 @@ def _count_by_snapped(spark, sf):
 
 @query(
     "replicate_mean",
-    """select a.pole_id, a.date, r6(a.light_attenuation_mean) light_attenuation_mean, r6(c.coord_x) coord_x, r6(c.coord_y) coord_y
+    f"""select a.pole_id, a.date, {r6('a.light_attenuation_mean')} light_attenuation_mean, {r6('c.coord_x')} coord_x, {r6('c.coord_y')} coord_y
        from (select pole_id, date, avg(light_attenuation_mean) light_attenuation_mean from v_att group by 1, 2) a
        left join v_xy c on a.pole_id = c.pole_id""",
 )
@@ -655,7 +662,7 @@ def _replicate_mean(spark, sf):
 
 @query(
     "global_range",
-    """select r6(min(light_attenuation_mean)) min_attenuation, r6(max(light_attenuation_mean)) max_attenuation from v_att""",
+    f"""select {r6('min(light_attenuation_mean)')} min_attenuation, {r6('max(light_attenuation_mean)')} max_attenuation from v_att""",
 )
 def _global_range(spark, sf):
     return rounded(C.global_range(V.attenuation(spark, sf)))

@@ -1,13 +1,35 @@
-"""The fixture views as SQL, spliced into each oracle as plain subqueries.
-
-``with_views`` expands the views a statement names (and those they name in turn) into
-one WITH clause, and the few helper forms (``r6(..)``, ``track_of(..)``, ...) into SQL.
-"""
+"""The fixture views as SQL: ``with_views`` puts those a statement names into its WITH clause."""
 
 from __future__ import annotations
 
 import re
 
+
+def r6(expr: str) -> str:
+    """Six places, and no negative zero."""
+    return f"(case when abs({expr}) < 0.0000005 then 0.0 else round({expr}, 6) end)"
+
+
+def track_of(x: str) -> str:
+    return f"case when {x} < 0 then 'U' when {x} < 100 then '3' when {x} < 200 then '2' when {x} <= 300 then '1' end"
+
+
+def zone_of(y: str) -> str:
+    return f"case when {y} < 0 then 'U' when {y} < 50 then 'A' when {y} < 100 then 'B' when {y} <= 200 then 'C' end"
+
+
+def track_level(track: str) -> str:
+    return f"(case {track} when '1' then 1 when '2' then 2 when '3' then 3 when 'U' then 4 end)"
+
+
+def zone_level(zone: str) -> str:
+    return f"(case {zone} when 'U' then 1 when 'A' then 2 when 'B' then 3 when 'C' then 4 end)"
+
+
+def near(v: str, borders: tuple[float, ...], fudge: float) -> str:
+    return "(" + " or ".join(f"({v} > {b} - {fudge} and {v} < {b} + {fudge})" for b in borders) + ")"
+
+
 VIEWS: dict[str, str] = {
     "v_readings": """
 select cast(floor(user_id / 2) as bigint) pole_id, cast(user_id % 2 as int) + 1 logger_number,
@@ -55,25 +77,25 @@ select date '2022-06-20' + cast(p.c_nationkey as integer) date, cast(p.c_nationk
        case when p.c_mktsegment = 'MACHINERY' then 'X' else substr(p.c_mktsegment, 1, 1) end point_name,
        p.pole_id point_id, p.angle_degrees, x.coord_x, x.coord_y
 from v_poles p join v_xy x on p.pole_id = x.pole_id""",
-    "v_split_x": """
+    "v_split_x": f"""
 select pole_id, coord_x + s coord_x, coord_y
-from (select *, near(coord_x; 0, 100, 200, 300; 3.5) near_border from v_xy) v
+from (select *, {near('coord_x', (0, 100, 200, 300), 3.5)} near_border from v_xy) v
 join (values (-3.5, true), (3.5, true), (0.0, false)) k(s, for_border) on near_border = for_border""",
-    "v_split": """
+    "v_split": f"""
 select pole_id, coord_x, coord_y + s coord_y
-from (select *, near(coord_y; 0, 50, 100, 200; 3.5) near_border from v_split_x) v
+from (select *, {near('coord_y', (0, 50, 100, 200), 3.5)} near_border from v_split_x) v
 join (values (-3.5, true), (3.5, true), (0.0, false)) k(s, for_border) on near_border = for_border""",
-    "v_split_legacy_x": """
+    "v_split_legacy_x": f"""
 select pole_id, coord_x + s coord_x, coord_y
-from (select *, near(coord_x; 0, 100, 200, 300; 1) near_border from v_xy) v
+from (select *, {near('coord_x', (0, 100, 200, 300), 1)} near_border from v_xy) v
 join (values (-2.0, true), (2.0, true), (0.0, false)) k(s, for_border) on near_border = for_border""",
-    "v_split_legacy": """
+    "v_split_legacy": f"""
 select pole_id, coord_x, coord_y + s coord_y
-from (select *, near(coord_y; 0, 50, 100, 200; 1) near_border from v_split_legacy_x) v
+from (select *, {near('coord_y', (0, 50, 100, 200), 1)} near_border from v_split_legacy_x) v
 join (values (-2.0, true), (2.0, true), (0.0, false)) k(s, for_border) on near_border = for_border""",
-    "v_gridded": """
+    "v_gridded": f"""
 select a.date, a.disturbance_number, a.pole_id, a.light_attenuation_mean, p.problem, s.coord_x, s.coord_y,
-       track_of(s.coord_x) track, zone_of(s.coord_y) zone
+       {track_of('s.coord_x')} track, {zone_of('s.coord_y')} zone
 from v_att a
 left join v_problem p on p.pole_id = a.pole_id
 join v_split s on s.pole_id = a.pole_id
@@ -135,38 +157,6 @@ left join v_trial_means m on m.date = p.date and m.point_name = p.point_name and
 left join v_problem_sheet q on q.date = p.date and q.pole_id = p.point_name and q.disturbance = t.disturbance_number""",
 }
 
-TRACK = "case when {0} < 0 then 'U' when {0} < 100 then '3' when {0} < 200 then '2' when {0} <= 300 then '1' end"
-ZONE = "case when {0} < 0 then 'U' when {0} < 50 then 'A' when {0} < 100 then 'B' when {0} <= 200 then 'C' end"
-FORMS = {
-    "r6": "(case when abs({0}) < 0.0000005 then 0.0 else round({0}, 6) end)",
-    "track_of": TRACK,
-    "zone_of": ZONE,
-    "track_level": "(case {0} when '1' then 1 when '2' then 2 when '3' then 3 when 'U' then 4 end)",
-    "zone_level": "(case {0} when 'U' then 1 when 'A' then 2 when 'B' then 3 when 'C' then 4 end)",
-}
-
-
-def _argument_end(sql: str, start: int) -> int:
-    depth = 1
-    for i in range(start, len(sql)):
-        depth += {"(": 1, ")": -1}.get(sql[i], 0)
-        if depth == 0:
-            return i
-    raise ValueError("unbalanced parentheses")
-
-
-def _expand_forms(sql: str) -> str:
-    for name, form in FORMS.items():
-        while found := re.search(rf"\b{name}\(", sql):
-            end = _argument_end(sql, found.end())
-            sql = sql[: found.start()] + form.format(sql[found.end() : end]) + sql[end + 1 :]
-    while found := re.search(r"\bnear\(", sql):
-        end = _argument_end(sql, found.end())
-        value, borders, fudge = (part.strip() for part in sql[found.end() : end].split(";"))
-        tests = (f"({value} > {b} - {fudge} and {value} < {b} + {fudge})" for b in borders.split(", "))
-        sql = sql[: found.start()] + "(" + " or ".join(tests) + ")" + sql[end + 1 :]
-    return sql
-
 
 def with_views(sql: str) -> str:
     needed: list[str] = []
@@ -175,14 +165,12 @@ def with_views(sql: str) -> str:
         for name, body in VIEWS.items():
             if name not in needed and re.search(rf"\b{name}\b", text):
                 need(body)
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     need(sql)
+    if not needed:
+        return sql.strip()
+    views = ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in needed)
     own = sql.strip()
-    views = ",\n".join(f"{name} as ({_expand_forms(VIEWS[name]).strip()})" for name in needed)
-    if not views:
-        return _expand_forms(own)
-    if own.lower().startswith("with "):
-        return _expand_forms(f"with {views},\n{own[5:]}")
-    return _expand_forms(f"with {views}\n{own}")
+    # a statement with its own WITH clause gets one longer clause
+    return f"with {views},\n{own[5:]}" if own.lower().startswith("with ") else f"with {views}\n{own}"
