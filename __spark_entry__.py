@@ -178,12 +178,13 @@ KEPT_ROWS = """(select * from (select *, row_number() over (partition by user_id
 
 @query(
     "file_extent",
-    f"""select user_id, first_date_time, last_date_time, {r6('measurement_interval')} measurement_interval,
-               {r6('300 / measurement_interval + 1')} sliding_window_width
+    f"""select user_id, first_date_time, last_date_time, measurement_interval,
+               300 / measurement_interval + 1 as sliding_window_width
         from ({EXTENT.format(rows=KEPT_ROWS)}) e""",
 )
 def _file_extent(spark, sf):
-    return rounded(_extents(spark, sf).withColumn("sliding_window_width", rolling_width("measurement_interval")))
+    # microseconds over counts: the same doubles on both sides, so nothing is rounded
+    return _extents(spark, sf).withColumn("sliding_window_width", rolling_width("measurement_interval"))
 
 
 def _extents(spark, sf):
@@ -192,10 +193,10 @@ def _extents(spark, sf):
 
 @query(
     "file_extent_whole",
-    f"select user_id, first_date_time, last_date_time, {r6('measurement_interval')} measurement_interval from ({EXTENT.format(rows='events')}) e",
+    EXTENT.format(rows="events"),
 )
 def _file_extent_whole(spark, sf):
-    return rounded(file_extent(V.table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "ts", drop_last=False))
+    return file_extent(V.table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "ts", drop_last=False)
 
 
 @query("drop_last_row", f"select event_id, user_id, ts, value from {KEPT_ROWS} k")
@@ -208,13 +209,13 @@ def _drop_last_row(spark, sf):
     "harmonise_extent",
     f"""select user_id, cast(floor(user_id / 2) as bigint) pole_id,
                max(first_date_time) over p first_date_time, min(last_date_time) over p last_date_time,
-               {r6('min(measurement_interval) over p')} measurement_interval
+               min(measurement_interval) over p measurement_interval
         from ({EXTENT.format(rows=KEPT_ROWS)}) e
         window p as (partition by floor(user_id / 2))""",
 )
 def _harmonise_extent(spark, sf):
     extents = _extents(spark, sf).withColumn("pole_id", F.floor(F.col("user_id") / 2).cast("bigint"))
-    return rounded(harmonise_extent(extents, ["pole_id"]))
+    return harmonise_extent(extents, ["pole_id"])
 
 
 @query(

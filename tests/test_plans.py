@@ -252,6 +252,15 @@ def test_cell_attenuation(trials, study, filtered):
         assert close(r.sd_light_attenuation, sd)
 
 
+def test_lower_case_names_match_on_request(trials, study):
+    frames, _ = study
+    as_written, matched = (
+        site_tables.gridded_poles(trials, frames["coordinates"], normalise_names=flag) for flag in (False, True)
+    )
+    assert as_written.filter(F.upper("point_name") == "D").count() == 0
+    assert matched.filter("point_name = 'D'").count() == 2 * len(TRIALS)
+
+
 def test_heatmaps_and_grid(spark, trials, study):
     frames, _ = study
     cells = stage(site_tables.cell_attenuation(trials, frames["coordinates"], min_mean=None))

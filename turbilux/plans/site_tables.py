@@ -64,10 +64,17 @@ def gridded_poles(
     on: Sequence[str] = ("point_name", "date", "disturbance_number"),
     fudge: float = BORDER_FUDGE,
     shift: float | None = None,
+    normalise_names: bool = False,
 ) -> DataFrame:
-    """Trial rows at their place on the grid; border poles count for every side."""
+    """Trial rows at their place on the grid; border poles count for every side.
+
+    Coordinates have upper-case point names; trials are matched as written unless
+    ``normalise_names``.
+    """
     if exclude_problems:
         trials = exclude_problem_poles(trials)
+    if normalise_names:
+        trials = trials.withColumn("point_name", F.upper("point_name"))
     placed = join_coordinates(require_present(trials, "light_attenuation_mean"), coords, on)
     placed = require_present(placed, "coord_x", "coord_y").distinct()
     return C.classify(clip_to_site(split_on_borders(placed, fudge, shift)))
