@@ -126,22 +126,29 @@ def file_path(user="user_id", ts="ts"):
 
 def file_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per user and day; an hour's events make one sample."""
-    return (
+    hours = (
         table(spark, sf_dir, "events")
-        .groupBy(F.concat(F.lit("../"), file_path()).alias("file_path"), hour_slot().alias("date_time"))
+        .groupBy("user_id", hour_slot().alias("date_time"))
         .agg(
             F.min("value").alias("temp_f"),
             F.avg("value").alias("intensity_lum_ft2"),
             F.bool_and(F.col("event_type") == "error").alias("is_event"),
         )
-        .withColumn("number", F.hour("date_time") + 1)
+    )
+    return hours.select(
+        F.concat(F.lit("../"), file_path(ts="date_time")).alias("file_path"),
+        (F.hour("date_time") + 1).alias("number"),
+        "date_time",
+        "temp_f",
+        "intensity_lum_ft2",
+        "is_event",
     )
 
 
 def deployment_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One logger file per pole, logger and day; very bright files have an issue (staged, a sheet)."""
     files = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("date")).agg(
-        F.max("value").alias("brightest"), F.max("event_type").alias("notes")
+        F.max("value").alias("brightest"), F.concat(F.count("value").cast("string"), F.lit(" events")).alias("notes")
     )
     sheet = files.select(
         "date",

@@ -116,7 +116,7 @@ from events group by 1, 2, 3""",
     "v_deployments": """
 select cast(ts as date) date, cast(cast(floor(user_id / 2) as bigint) as varchar) point_name,
        cast(user_id % 2 as int) + 1 logger_number, '../logs/' || user_id || '/' || cast(ts as date) || '.csv' path,
-       user_id || '.csv' as name, max(event_type) notes
+       user_id || '.csv' as name, count(value) || ' events' as notes
 from events
 where not regexp_matches(cast(cast(ts as date) as varchar), '2024-01-2[0-3]')
 group by 1, 2, 3, 4, 5 having max(value) <= 150""",

@@ -53,17 +53,20 @@ def windows(spark):
 
 
 def brute_force(samples, windows):
+    all_windows = windows.collect()
     return sorted(
         (s.file_path, s.number, w.trial)
         for s in samples.collect()
-        for w in windows.collect()
+        for w in all_windows
         if s.file_path == w.file_path and w.start_time and w.start_time <= s.date_time < w.end_time
     )
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_samples_in_windows(hot_samples, windows, limit):
-    joined = J.samples_in_windows(hot_samples, windows, ["file_path"], spread_by=["number"], broadcast_rows=limit, salts=4)
+@pytest.mark.parametrize("limit, salts", [(1000, 1), (0, 1), (0, 4)])
+def test_samples_in_windows(hot_samples, windows, limit, salts):
+    joined = J.samples_in_windows(
+        hot_samples, windows, ["file_path"], spread_by=["number"], broadcast_rows=limit, salts=salts
+    )
     got = sorted((r.file_path, r.number, r.trial) for r in joined.collect())
     assert got == brute_force(hot_samples, windows)
     plan = plan_of(joined)
@@ -71,23 +74,45 @@ def test_samples_in_windows(hot_samples, windows, limit):
     assert ("BroadcastHashJoin" in plan) or limit == 0
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_lookup_join_keeps_every_fact_once(spark, hot_samples, limit):
+@pytest.mark.parametrize("limit, salts", [(1000, 1), (0, 1), (0, 5)])
+def test_lookup_join_keeps_every_fact_once(spark, hot_samples, limit, salts):
     lookup = spark.createDataFrame([("hot", "a"), ("f1", "b"), ("f1", "c")], "file_path string, tag string")
-    left = J.lookup_join(hot_samples, lookup, ["file_path"], "left", spread_by=["number"], broadcast_rows=limit)
-    assert left.groupBy("tag").count().collect().__len__() == 4
+    left = J.lookup_join(hot_samples, lookup, ["file_path"], "left", spread_by=["number"], broadcast_rows=limit, salts=salts)
     counts = {r.tag: r["count"] for r in left.groupBy("tag").count().collect()}
     assert counts == {"a": 600, "b": 20, "c": 20, None: 80}
-    inner = J.lookup_join(hot_samples, lookup, ["file_path"], spread_by=["number"], broadcast_rows=limit)
+    inner = J.lookup_join(hot_samples, lookup, ["file_path"], spread_by=["number"], broadcast_rows=limit, salts=salts)
     assert inner.count() == 640
     with pytest.raises(ValueError):
         J.lookup_join(hot_samples, lookup, ["file_path"], "full", spread_by=["number"])
 
 
-def test_salts_split_the_hot_key(spark, hot_samples):
-    lookup = spark.createDataFrame([("hot", "a")], "file_path string, tag string")
-    joined = J.lookup_join(hot_samples, lookup, ["file_path"], spread_by=["number"], broadcast_rows=0, salts=8)
-    assert "_salt" in plan_of(joined)
+def test_hot_key_is_split_at_run_time(spark, tmp_path):
+    """The shuffle variant with a key that holds most rows, thresholds lowered to test size."""
+    hot = spark.range(200_000, numPartitions=8).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 500)).alias("file_path"),
+        F.col("id").alias("number"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    lookup = spark.range(501).select(
+        F.when(F.col("id") == 500, "hot").otherwise(F.concat(F.lit("f"), F.col("id"))).alias("file_path"), F.col("id").alias("tag")
+    )
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        joined = J.lookup_join(hot, lookup, ["file_path"], broadcast_rows=0)
+        rows_, _ = joined.count(), joined.collect()
+        assert rows_ == 200_000
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_problem_and_coordinate_joins(spark):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +13,11 @@ from turbilux.functions.times import seconds_between
 from turbilux.operators.joins import lookup_join
 
 
+def _position(order: Sequence[str]) -> Column:
+    """What orders a file's rows; one plain column keeps the aggregation hash-based."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows but each file's last (``order`` must be unique within the file).
 
@@ -18,7 +25,7 @@ def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> D
     and a file of any size stays split over many tasks.
     """
     file = list(file)
-    position = F.struct(*order)
+    position = _position(order)
     last = df.groupBy(*file).agg(F.max(position).alias("_last"))
     return lookup_join(df, last, file, spread_by=order).filter(position < F.col("_last")).drop("_last")
 
@@ -37,10 +44,15 @@ def file_extent(
     before the shuffle, so no task ever holds a whole file.
     """
     file, order = list(file), list(order)
-    position = F.struct(*order)
+    # both branches below start from the same rows, so that a shuffle under them is reused
+    samples = samples.filter(reduce(and_, (F.col(c).isNotNull() for c in file)))
+    if order[0] == ts:
+        first, last = F.min(ts), F.max(ts)
+    else:
+        first, last = F.min_by(ts, _position(order)), F.max_by(ts, _position(order))
     rows = F.count(F.lit(1)) - (1 if drop_last else 0)
     extent = samples.groupBy(*file).agg(
-        F.min_by(ts, position).alias("first_date_time"), F.max_by(ts, position).alias("last_date_time"), rows.alias("_rows")
+        first.alias("first_date_time"), last.alias("last_date_time"), rows.alias("_rows")
     )
     if drop_last:
         backwards = Window.partitionBy(*file).orderBy(*(F.col(c).desc() for c in order))
@@ -51,10 +63,10 @@ def file_extent(
             .select(*file, F.col("_ts").alias("last_date_time"))
         )
         extent = extent.drop("last_date_time").join(second_last, file, "left")
-    first = F.when(F.col("_rows") > 0, F.col("first_date_time"))
+    known = F.when(F.col("_rows") > 0, F.col("first_date_time"))
     interval = F.try_divide(seconds_between("first_date_time", "last_date_time"), F.col("_rows") - 1)
     return extent.select(
-        *file, first.alias("first_date_time"), "last_date_time", interval.alias("measurement_interval")
+        *file, known.alias("first_date_time"), "last_date_time", interval.alias("measurement_interval")
     )
 
 

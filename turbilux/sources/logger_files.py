@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turbilux.functions.times import parse_logger_timestamp
-from turbilux.operators.joins import BROADCAST_ROWS, SALTS, lookup_join
+from turbilux.operators.joins import BROADCAST_ROWS, lookup_join
 from turbilux.site import EVENT_MARK
 from turbilux.sources.names import clean_header_field
 
@@ -21,7 +21,7 @@ HEADER_LINE = '^"?#"?,'
 SAMPLE_LINE = '^"?[0-9]+"?,'
 SERIAL = r"LGR S/N: ([0-9]+)"
 OFFSET = r"GMT([+-][0-9]{2}:[0-9]{2})"
-FILE_SERIAL = r"([0-9]+)_[^/]*$"
+FILE_SERIAL = r"^([0-9]+)_"
 # a comma outside double quotes
 FIELD_BREAK = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # column positions of the usual export
@@ -65,7 +65,8 @@ def unusual_headers(lines: DataFrame) -> DataFrame:
 def _sample_fields(lines: DataFrame) -> DataFrame:
     line = F.col("line")
     # the slower pattern runs only on lines with quotes
-    fields = F.when(F.contains(line, F.lit('"')), F.split(line, FIELD_BREAK)).otherwise(F.split(line, ","))
+    quoted = F.transform(F.split(line, FIELD_BREAK), lambda f: F.btrim(f, F.lit('"')))
+    fields = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
     return (
         _text_lines(lines)
         .filter(line.rlike(SAMPLE_LINE))
@@ -76,8 +77,8 @@ def _sample_fields(lines: DataFrame) -> DataFrame:
 
 
 def _field(place: Column) -> Column:
-    text = F.btrim(F.get("fields", place - 1), F.lit('"'))
-    return _optional(F.trim(text))
+    # casts and time parsing trim, and take an empty field as missing
+    return F.get("fields", place - 1)
 
 
 def _typed(place) -> list[Column]:
@@ -96,7 +97,7 @@ def parse_samples(
     *,
     files: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Text lines to the long sample schema (``SAMPLE_COLUMNS``).
 
@@ -108,7 +109,7 @@ def parse_samples(
     if places == "usual":
         return fields.select(
             "file_path",
-            _optional(F.regexp_extract("file_path", FILE_SERIAL, 1)).alias("logger_sn"),
+            _optional(F.regexp_extract(F.substring_index("file_path", "/", -1), FILE_SERIAL, 1)).alias("logger_sn"),
             F.lit(None).cast("string").alias("gmt_offset"),
             *_typed(lambda name: F.lit(USUAL_PLACES[name])),
         )
