@@ -479,10 +479,10 @@ def _classify_cells(spark, sf):
     "disturbance_segments",
     f"""select {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, point_name, date, disturbance_id disturbance_number,
               {track_of('coord_x')} track, {zone_of('coord_y')} zone,
-              case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 2.5 when 150 then 1.5 when 250 then 0.5 end x,
-              case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 3.5 when 150 then 2.5 when 250 then 1.5 end xend,
-              case coord_y when 0 then 1.5 when 100 then 3.5 when 25 then 1.5 when 75 then 2.5 when 150 then 3.5 end y,
-              case coord_y when 0 then 1.5 when 100 then 3.5 when 25 then 2.5 when 75 then 3.5 when 150 then 4.5 end yend
+              cast(case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 2.5 when 150 then 1.5 when 250 then 0.5 end as double) x,
+              cast(case coord_x when 0 then 3.5 when 100 then 2.5 when 50 then 3.5 when 150 then 2.5 when 250 then 1.5 end as double) xend,
+              cast(case coord_y when 0 then 1.5 when 100 then 3.5 when 25 then 1.5 when 75 then 2.5 when 150 then 3.5 end as double) y,
+              cast(case coord_y when 0 then 1.5 when 100 then 3.5 when 25 then 2.5 when 75 then 3.5 when 150 then 4.5 end as double) yend
        from v_coordinates where point_name = 'X' and date >= date '2022-07-01'""",
 )
 def _disturbance_segments(spark, sf):
@@ -552,7 +552,7 @@ def experiment_sql(cells: str) -> str:
 
 
 def heatmap_sql(inner: str, fill: str, label: str) -> str:
-    return f"""select t.*, t.{fill} fill, round_even(t.{label}, 0) + 0.0 as label,
+    return f"""select t.*, t.{fill} fill, round_even(cast(t.{label} as double), 0) + 0.0 as label,
        {track_level('track')} - 0.5 xmin, {track_level('track')} + 0.5 xmax,
        {zone_level('zone')} - 0.5 ymin, {zone_level('zone')} + 0.5 ymax
        from ({inner}) t"""

@@ -19,11 +19,11 @@ def zone_of(y: str) -> str:
 
 
 def track_level(track: str) -> str:
-    return f"(case {track} when '1' then 1 when '2' then 2 when '3' then 3 when 'U' then 4 end)"
+    return f"cast(case {track} when '1' then 1 when '2' then 2 when '3' then 3 when 'U' then 4 end as double)"
 
 
 def zone_level(zone: str) -> str:
-    return f"(case {zone} when 'U' then 1 when 'A' then 2 when 'B' then 3 when 'C' then 4 end)"
+    return f"cast(case {zone} when 'U' then 1 when 'A' then 2 when 'B' then 3 when 'C' then 4 end as double)"
 
 
 def near(v: str, borders: tuple[float, ...], fudge: float) -> str:

@@ -26,12 +26,14 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 def stage(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage, in the cluster's shared checkpoint folder.
 
-    For small tables several jobs read.  Only where the cluster names no folder (local
-    runs) a temporary one is set.
+    For small tables several jobs read.  Only a local run without that setting gets a
+    temporary folder; on a cluster it would not be shared.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="turbilux-checkpoint-"))
     return df.checkpoint(eager=True)
 
