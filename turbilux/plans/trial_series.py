@@ -52,19 +52,18 @@ def trial_series(
     """Long series: one row per trial, sample and logger.
 
     ``trials`` should be stored or staged (``sources.tables.stage``): it is read for the
-    bounds, for the windows' size check and for the join.  ``window_width`` overrides the trials' own ``sliding_window_width``.  The longest
-    window and its interval (trial metadata, one row to the driver) bound the rows of a
-    series and choose between the plain and the blocked rolling mean.
+    bounds, for the windows' size check and for the join.  ``window_width`` overrides the
+    trials' own ``sliding_window_width``.  The longest window and its interval (trial
+    metadata, one row to the driver) bound the rows of a series and choose between the
+    plain and the blocked rolling mean.
     """
     width = F.lit(window_width) if window_width else F.round("sliding_window_width").cast("int")
     trials = trials.withColumn("_k", width)
-    seconds = seconds_between(*pad_window("start_time", "end_time", pad_minutes))
-    bounds = trials.agg(
-        F.max("_k").alias("k_max"),
-        F.max(F.try_divide(seconds, F.col("measurement_interval"))).alias("rows"),
-        F.count(F.when(F.col("measurement_interval").isNull() & F.col("start_time").isNotNull(), 1)).alias("unknown"),
-    ).first()
-    short = bounds["unknown"] == 0 and (bounds["rows"] or 0) < series_rows
+    window = seconds_between(*pad_window("start_time", "end_time", pad_minutes))
+    # a file without a known interval has at most two samples; one a second is ample
+    samples_in_window = F.coalesce(F.try_divide(window, F.col("measurement_interval")), window)
+    bounds = trials.agg(F.max("_k").alias("k_max"), F.max(samples_in_window).alias("rows")).first()
+    short = (bounds["rows"] or 0) < series_rows
 
     pairs = paired_series(trials, samples, pad_minutes, day)
     shape = dict(by=TRIAL, order=["number", "date_time"], k_max=bounds["k_max"] or 1)
