@@ -50,7 +50,7 @@ def disturbance_segments(
     point: str = DISTURBANCE_POINT,
     excluded_dates: Sequence[str] = EXCLUDED_SEGMENT_DATES,
 ) -> DataFrame:
-    """Where people disturbed the sediment: cell and drawn segment."""
+    """Where people walked: cell and drawn segment."""
     points = exclude_dates(equals(coords, point_name=point), excluded_dates).select(
         "coord_x", "coord_y", "point_name", "date", F.col("disturbance_id").alias("disturbance_number")
     )

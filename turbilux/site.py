@@ -43,7 +43,7 @@ SEGMENT_Y = {
     150.0: (3.5, 4.5),
 }
 
-# name of the point at which people disturbed the sediment
+# name of the point at which the disturbance took place
 DISTURBANCE_POINT = "X"
 
 # cells of a metadata sheet that mean "missing"
