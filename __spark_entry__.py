@@ -686,9 +686,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return QUERIES["experiment_mean"](spark, "/root/testdata/sf0.001")
 
 
+# the text operators and the pipeline are a separate part that may be absent
+try:
+    from turbilux.llm.queries import ORACLES as LLM_ORACLES
+    from turbilux.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("turbilux.llm", "turbilux.llm.queries", "corpus_pipeline"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, **LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **LLM_ORACLES}

@@ -14,7 +14,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(contract.QUERIES))
