@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turbilux.llm import exact_dedup, token_codes
+from turbilux.llm import exact_dedup, length_buckets, phrase_index, substring_dedup, token_codes
+from turbilux.llm.shipping import ship_package
 from turbilux.llm.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +18,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -58,3 +63,46 @@ def _op4(spark, sf):
 )
 def _op8(spark, sf):
     return exact_dedup.exact_groups(_table(spark, sf, "documents")).drop("row_hash")
+
+
+# --- 10: repeated passages -----------------------------------------------------------
+
+
+@query("op10_count_min_passages")
+def _op10(spark, sf):
+    return substring_dedup.remove_repeated(_table(spark, sf, "documents"))
+
+
+# --- 6: benchmark decontamination ----------------------------------------------------
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SQL_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op6_positional_index",
+    f"""with d as (select doc_id, {_SQL_WORDS} w from documents),
+       b as (select item_id, {_SQL_WORDS} w from benchmark),
+       iw as (select distinct item_id, len(win) n, win from (
+                select item_id, unnest(case when len(w) > 10 then list_transform(range(len(w) - 9), lambda i: w[i + 1:i + 10])
+                                            else [w] end) win from b where len(w) > 0)),
+       dw as (select doc_id, n, s, w[s + 1:s + n] win from (
+                select doc_id, n, w, unnest(range(len(w) - n + 1)) s from d, (select distinct n from iw) where len(w) >= n)),
+       hits as (select doc_id, item_id, s, dw.n from dw join iw on dw.n = iw.n and dw.win = iw.win),
+       words as (select doc_id, count(*) n_hit from (select distinct doc_id, s + unnest(range(n)) p from hits) group by 1),
+       found as (select doc_id, count(*) n_items, string_agg(i, ',' order by i) l
+                 from (select distinct doc_id, cast(item_id as varchar) i from hits) group by 1)
+       select d.doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+              sha256(coalesce(l, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+       from d left join words using (doc_id) left join found using (doc_id)""",
+)
+def _op6(spark, sf):
+    return phrase_index.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark")).drop("row_key")
+
+
+# --- 9: packing ----------------------------------------------------------------------
+
+
+@query("op9_length_buckets")
+def _op9(spark, sf):
+    return length_buckets.pack(_table(spark, sf, "documents"))
