@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turbilux.llm import exact_dedup, length_buckets, phrase_index, substring_dedup, token_codes
+from turbilux.llm import (
+    cross_parsing,
+    exact_dedup,
+    length_buckets,
+    license_digests,
+    order_minhash,
+    perspectives,
+    phrase_index,
+    substring_dedup,
+    token_codes,
+    toxic_segments,
+)
 from turbilux.llm.shipping import ship_package
 from turbilux.llm.storage import shared_folder
 
@@ -106,3 +117,97 @@ def _op6(spark, sf):
 @query("op9_length_buckets")
 def _op9(spark, sf):
     return length_buckets.pack(_table(spark, sf, "documents"))
+
+
+# --- 3: language ---------------------------------------------------------------------
+
+
+def _fold(doc_id, parts: int):
+    return F.crc32(doc_id.cast("string")) % parts
+
+
+@query("op3_cross_parsing")
+def _op3(spark, sf):
+    docs = _table(spark, sf, "documents")
+    sample = cross_parsing.training_sample(docs.where(_fold(F.col("doc_id"), 5) != 0))
+    found = cross_parsing.predict_language(docs, sample)
+    return found.select("doc_id", (_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+# --- 7: toxicity ---------------------------------------------------------------------
+
+
+@query("op7_segment_toxicity")
+def _op7(spark, sf):
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    marks = labels.where(_fold(F.col("doc_id"), 4) != 2).select("doc_id", F.col("toxic").alias("label"))
+    found = toxic_segments.toxicity(docs, toxic_segments.fit(docs, marks))
+    return found.select("doc_id", (_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+# --- 1: near duplicates --------------------------------------------------------------
+
+
+@query("op1_order_minhash")
+def _op1(spark, sf):
+    return order_minhash.near_groups(_table(spark, sf, "documents")).drop("row_hash")
+
+
+# --- 2: chat formatting --------------------------------------------------------------
+
+
+@query(
+    "op2_perspective_rotation",
+    """with t as (select conv_id, turn, coalesce(role, 'unknown') r, coalesce(text, '') x,
+                      coalesce(cast(floor(turn / 256) as bigint), -1) piece
+               from conversations where conv_id is not null),
+       s as (select distinct conv_id, r speaker from t),
+       u as (select t.conv_id, speaker, piece, turn, r, x,
+                    case when r = speaker then '<|assistant|>' || chr(10) else '<|user name=' || r || '|>' || chr(10) end head
+             from t join s using (conv_id)),
+       p as (select *, length(head) + length(x) + 8 n,
+                    coalesce(sum(length(head) + length(x) + 8) over (partition by conv_id, speaker order by piece, turn, r, x
+                             rows between unbounded preceding and 1 preceding), 0) a from u)
+       select conv_id, speaker, piece, cast(min(a) as bigint) "start",
+              string_agg(head || x || '<|end|>' || chr(10), '' order by turn nulls first, r, x) "text",
+              coalesce(string_agg(case when r = speaker then cast(a + length(head) as bigint) || '-' || cast(a + n - 1 as bigint) end,
+                                  ',' order by turn nulls first, r, x), '') mask,
+              cast(coalesce(sum(case when r = speaker then n - 1 - length(head) end), 0) as bigint) n_trained
+       from p group by conv_id, speaker, piece""",
+)
+def _op2(spark, sf):
+    return perspectives.rotate(_table(spark, sf, "conversations"))
+
+
+# --- 5: licences ---------------------------------------------------------------------
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _sql_canonical(text: str) -> str:
+    out = f"regexp_replace(lower(coalesce({text}, '')), {_sql_text(license_digests.COPYRIGHT_LINE)}, '', 'g')"
+    for old, new in license_digests.SPELLINGS:
+        out = f"replace({out}, {_sql_text(old)}, {_sql_text(new)})"
+    out = f"regexp_replace({out}, {_sql_text(license_digests.VERSION_MARK)}, 'version \\2', 'g')"
+    out = f"regexp_replace({out}, {_sql_text(license_digests.NO_WORD)}, ' ', 'g')"
+    return f"regexp_replace({out}, {_sql_text(license_digests.LINE_EDGE)}, '', 'g')"
+
+
+_SQL_KNOWN = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in license_digests.KNOWN_TEXTS)
+
+
+@query(
+    "op5_license_digests",
+    f"""with k as (select distinct i, sha256(trim(regexp_replace({_sql_canonical("x")}, '[ \n]+', ' ', 'g'))) h
+                   from (values {_SQL_KNOWN}) v(i, x)),
+       d as (select doc_id, {_sql_canonical("text")} c from documents),
+       w as (select doc_id, sha256(trim(regexp_replace(c, '[ \n]+', ' ', 'g'))) h from d),
+       l as (select doc_id, sha256(unnest(string_split(c, chr(10)))) h from d),
+       m as (select doc_id, string_agg(distinct i, ',' order by i) ls, count(*) n from l join k using (h) group by 1)
+       select w.doc_id, w.h text_digest, k.i license_id, coalesce(ls, '') line_licenses, coalesce(n, 0) n_license_lines
+       from w left join k using (h) left join m using (doc_id)""",
+)
+def _op5(spark, sf):
+    return license_digests.scan_licenses(_table(spark, sf, "documents"))
