@@ -688,12 +688,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 # the text operators and the pipeline are a separate part that may be absent
 try:
+    import corpus_pipeline
     from turbilux.llm.queries import ORACLES as LLM_ORACLES
     from turbilux.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as missing:
     if missing.name not in ("turbilux.llm", "turbilux.llm.queries", "corpus_pipeline"):
         raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
 
 
 def queries() -> dict[str, Query]:
