@@ -102,10 +102,12 @@ class Parser:
         self.width = width
 
     def _with_restarts(self, moves: np.ndarray) -> np.ndarray:
-        """2 x next state + 1 where a phrase ends; a phrase that cannot go on makes the symbol begin the next one."""
-        start = np.maximum(moves[0], 0)
-        steps = np.where(moves >= 0, moves * 2, start[None, :] * 2 + 1).astype(np.int32)
-        steps[:, self.filler] = np.arange(len(moves)) * 2
+        """4 x next state + the phrases that end: a phrase that cannot go on ends, and the symbol begins the next one;
+        a symbol the language does not have is a phrase of its own."""
+        known = moves[0] >= 0
+        ends = (np.arange(len(moves)) > 0)[:, None] + np.where(known, 0, 1)[None, :]
+        steps = np.where(moves >= 0, moves * 4, np.maximum(moves[0], 0)[None, :] * 4 + ends).astype(np.int32)
+        steps[:, self.filler] = np.arange(len(moves)) * 4
         return steps.reshape(-1)
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +136,12 @@ class Parser:
             columns.append(np.where(at < limit, symbols[np.minimum(at, max(len(symbols) - 1, 0))], self.filler).astype(np.int32))
         for j, steps in enumerate(self._steps):
             state = np.zeros(len(owner), np.int32)
-            ended = np.ones(len(owner), np.int32)  # the last phrase of a stretch
+            ended = np.zeros(len(owner), np.int32)
             for column in columns:
                 step = steps[state * self.width + column]
-                ended += step & 1
-                state = step >> 1
+                ended += step & 3
+                state = step >> 2
+            ended += state > 0
             phrases[:, j] = np.bincount(owner, ended, minlength=len(texts)) * self._bits[j]
         return phrases / np.maximum(counts, 1)[:, None], has_letter
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turbilux.llm.storage import staged
+from turbilux.llm.storage import staged, without_rows
 from turbilux.llm.text_arrays import utf8
 
 PRIMES = (2147483647, 2147483629)
@@ -165,6 +165,4 @@ def exact_groups(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns; a row is known by its doc_id (null-safe) and text."""
-    gone = exact_groups(docs).where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("row_hash").alias("_gone"))
-    same = (F.xxhash64(docs["text"]) == F.col("_gone")) & docs["doc_id"].eqNullSafe(F.col("_gone_id"))
-    return docs.join(gone, same, "left_anti")
+    return without_rows(docs, exact_groups(docs).where("not kept"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turbilux.llm.components import components
-from turbilux.llm.storage import staged
+from turbilux.llm.storage import staged, without_rows
 from turbilux.llm.text_arrays import Words, blocks, mix, text_of, utf8
 
 SHINGLE = 5
@@ -238,6 +238,4 @@ def near_groups(
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns; a row is known by its doc_id (null-safe) and text."""
-    gone = near_groups(docs).where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("row_hash").alias("_gone"))
-    same = (F.xxhash64(docs["text"]) == F.col("_gone")) & docs["doc_id"].eqNullSafe(F.col("_gone_id"))
-    return docs.join(gone, same, "left_anti")
+    return without_rows(docs, near_groups(docs).where("not kept"))

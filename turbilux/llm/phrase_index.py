@@ -143,8 +143,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFram
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns."""
-    hit = contamination(docs, items, size).where("contaminated").select(F.col("row_key").alias("_hit")).distinct()
-    return docs.join(hit, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_hit"), "left_anti")
+    hit = contamination(docs, items, size).where("contaminated").select(F.col("row_key").alias("hit_key")).distinct()
+    return docs.join(hit, F.xxhash64(docs["doc_id"], docs["text"]) == hit["hit_key"], "left_anti")
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, within: int) -> DataFrame:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,3 +33,11 @@ def staged(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` not in ``gone`` (doc_id, row_hash), with all their columns; a row is known by its doc_id and text."""
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("row_hash").alias("gone_hash"))
+    # columns are bound to their frames, so that extra columns of docs may have any name
+    same = (F.xxhash64(docs["text"]) == gone["gone_hash"]) & docs["doc_id"].eqNullSafe(gone["gone_id"])
+    return docs.join(gone, same, "left_anti")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turbilux.llm.storage import staged
+from turbilux.llm.storage import staged, without_rows
 from turbilux.llm.text_arrays import Words, blocks, byte_table, mix, text_of, utf8
 
 # bounds of what is learnt: labelled documents looked at (in expectation), and features kept
@@ -292,10 +292,7 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """The rows that score below ``threshold``, with all their columns; a row is known by its doc_id (null-safe) and text."""
-    gone = toxicity(docs, model, threshold).where("predicted = 1")
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("row_hash").alias("_gone"))
-    same = (F.xxhash64(docs["text"]) == F.col("_gone")) & docs["doc_id"].eqNullSafe(F.col("_gone_id"))
-    return docs.join(gone, same, "left_anti")
+    return without_rows(docs, toxicity(docs, model, threshold).where("predicted = 1"))
 
 
 def toxic_passages(docs: DataFrame, model: Model, most_expected: float = 0.05) -> DataFrame:
