@@ -19,7 +19,7 @@ from turbilux.functions.times import date_plus_time, parse_date, parse_logger_ti
 from turbilux.operators import cells as C  # noqa: E402
 from turbilux.operators.extent import drop_last_row, file_extent, harmonise_extent  # noqa: E402
 from turbilux.operators.joins import samples_in_windows  # noqa: E402
-from turbilux.operators.pairing import mean_intensity, pairing_report  # noqa: E402
+from turbilux.operators.pairing import mean_attenuation, mean_intensity, pair_loggers, pair_samples, pairing_report  # noqa: E402
 from turbilux.operators.reshape import pivot_loggers, split_on_borders, unpivot_loggers  # noqa: E402
 from turbilux.operators.rolling import blocked_rolling_mean  # noqa: E402
 from turbilux.operators.rows import (  # noqa: E402
@@ -48,7 +48,6 @@ from turbilux.plans.trial_series import trial_series  # noqa: E402
 from turbilux.site import LEGACY_BORDER_SHIFT, LEGACY_BORDER_WIDTH  # noqa: E402
 from turbilux.sources.logger_files import parse_samples  # noqa: E402
 from turbilux.sources.metadata import clean_metadata  # noqa: E402
-from turbilux.sources.tables import stage  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,6 +86,47 @@ def _mean_attenuation(spark, sf):
     return rounded(V.attenuation(spark, sf))
 
 
+@query(
+    "mean_attenuation_ieee",
+    f"""with r as (select user_id // 2 pole_id, user_id % 2 side, date_trunc('hour', ts) slot_ts, avg(floor(value / 20)) light
+                  from events group by 1, 2, 3)
+       select cast(a.pole_id as bigint) pole_id, cast(a.slot_ts as date) date,
+              case when bool_or(a.light = 0 and b.light > 0) then '-infinity'::double
+                   else {r6('avg(case when a.light > 0 then 100 * (a.light - b.light) / a.light end)')} end light_attenuation_mean
+       from r a join r b on a.pole_id = b.pole_id and a.slot_ts = b.slot_ts and a.side = 0 and b.side = 1
+       group by 1, 2""",
+)
+def _mean_attenuation_ieee(spark, sf):
+    """Light in coarse steps, so that many samples are dark: zero light follows IEEE."""
+    events = V.table(spark, sf, "events")
+    light = events.groupBy(
+        F.floor(F.col("user_id") / 2).alias("pole_id"),
+        (F.col("user_id") % 2 + 1).alias("logger_number"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot_ts"),
+    ).agg(F.avg(F.floor(F.col("value") / 20)).alias("intensity"))
+    pairs = pair_samples(light, ["pole_id", "slot_ts"], ["intensity"])
+    dated = pairs.withColumn("date", F.to_date("slot_ts"))
+    return rounded(mean_attenuation(dated, ["pole_id", "date"], "intensity"))
+
+
+@query(
+    "pairing_repeated",
+    """select cast(a.user_id // 2 as bigint) pole_id, date_trunc('hour', a.ts) slot_ts, a.event_id event_id_1, b.event_id event_id_2
+       from events a join events b on a.user_id // 2 = b.user_id // 2 and date_trunc('hour', a.ts) = date_trunc('hour', b.ts)
+       where a.user_id % 2 = 0 and b.user_id % 2 = 1""",
+)
+def _pairing_repeated(spark, sf):
+    """Natural join by time alone, with times that repeat within a logger: many to many."""
+    samples = V.table(spark, sf, "events").select(
+        F.floor(F.col("user_id") / 2).alias("pole_id"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot_ts"),
+        (F.col("user_id") % 2).alias("side"),
+        "event_id",
+    )
+    top, bottom = (samples.filter(F.col("side") == n).drop("side") for n in (0, 1))
+    return pair_loggers(top, bottom, keys=["slot_ts"], within=["pole_id"])
+
+
 @query(
     "mean_intensity",
     f"""select d.date, d.disturbance_number, r.pole_id, r.logger_number, {r6('avg(r.intensity)')} mean_intensity
@@ -95,7 +135,7 @@ def _mean_attenuation(spark, sf):
 )
 def _mean_intensity(spark, sf):
     inside = samples_in_windows(
-        V.readings(spark, sf), V.disturbances(spark, sf), ts="slot_ts", spread_by=["pole_id"]
+        V.readings(spark, sf), V.disturbances(spark, sf), ts="slot_ts"
     )
     return rounded(mean_intensity(inside, ["date", "disturbance_number", "pole_id", "logger_number"], "intensity"))
 
@@ -137,7 +177,6 @@ def _window_means(spark, sf):
         (),
         by=["pole_id", "start_time"],
         value="intensity",
-        spread_by=["pole_id"],
         ts="slot_ts",
     )
 
@@ -380,7 +419,7 @@ def _pole_trials(spark, sf):
 def _trial_series(spark, sf):
     deployments, samples, disturbances = _study_inputs(spark, sf)
     usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
-    trials = stage(planned_trials(usable, sample_extents(samples, usable), disturbances))
+    trials = planned_trials(usable, sample_extents(samples, usable), disturbances)
     return rounded(trial_series(trials, samples, window_width=2, zero_light="skip"))
 
 
@@ -672,10 +711,10 @@ def _global_range(spark, sf):
 @query(
     "unique_dates",
     """select date, cast(row_number() over (order by date) as integer) date_rank
-       from (select distinct date from v_att where not regexp_matches(cast(date as varchar), '2024-01-2[0-3]')) d""",
+       from (select distinct date from v_att) d""",
 )
 def _unique_dates(spark, sf):
-    return unique_dates(exclude_dates(V.attenuation(spark, sf), EXCLUDED_DAYS))
+    return unique_dates(V.attenuation(spark, sf))
 
 
 # --- contract ------------------------------------------------------------------------

@@ -12,7 +12,6 @@ from turbilux.functions.geometry import polar_x, polar_y
 from turbilux.operators.joins import left_join_on, samples_in_windows
 from turbilux.operators.pairing import mean_attenuation, pair_samples
 from turbilux.sources.metadata import COORDINATE_TYPES, clean_metadata
-from turbilux.sources.tables import stage
 
 TRIAL_BY_POLE = ("date", "disturbance_number", "pole_id")
 
@@ -62,16 +61,14 @@ def disturbances(spark: SparkSession, sf_dir: str) -> DataFrame:
         return midnight + F.make_dt_interval(F.lit(0), hour)
 
     first_hour = (F.col("disturbance_number") - 1) * 8
-    return stage(
-        trials.select(
-            "date", "disturbance_number", at(first_hour + 1).alias("start_time"), at(first_hour + 7).alias("end_time")
-        )
+    return trials.select(
+        "date", "disturbance_number", at(first_hour + 1).alias("start_time"), at(first_hour + 7).alias("end_time")
     )
 
 
 def trial_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples_in_windows(
-        reading_pairs(spark, sf_dir), disturbances(spark, sf_dir), ts="slot_ts", spread_by=["pole_id"]
+        reading_pairs(spark, sf_dir), disturbances(spark, sf_dir), ts="slot_ts"
     )
 
 
@@ -159,7 +156,7 @@ def deployment_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "notes",
         F.when(F.col("brightest") > 150, F.lit("too bright")).alias("data_issue"),
     )
-    return stage(sheet)
+    return sheet
 
 
 def problem_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "2",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="turbilux-tests-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",

@@ -157,3 +157,9 @@ def test_missing(spark):
 def test_title(spark):
     df = spark.sql("select date'2022-10-01' d, 'B' p, 2 n")
     assert values(df, G.trial_title("d", "p", "n")) == ["2022-10-01, Pole B, Disturbance 2"]
+
+
+def test_minute_times_of_twelve_hours(spark):
+    df = spark.createDataFrame([("11/9/22 4:59 PM",), ("11/9/22 12:05 AM",), ("11/9/22 12:05:30 PM",)], "t string")
+    got = [r[0] for r in df.select(T.parse_logger_timestamp("t")).collect()]
+    assert got == [dt.datetime(2022, 11, 9, 16, 59), dt.datetime(2022, 11, 9, 0, 5), dt.datetime(2022, 11, 9, 12, 5, 30)]

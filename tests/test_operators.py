@@ -62,28 +62,23 @@ def brute_force(samples, windows):
     )
 
 
-@pytest.mark.parametrize("limit, salts", [(1000, 1), (0, 1), (0, 4)])
-def test_samples_in_windows(hot_samples, windows, limit, salts):
-    joined = J.samples_in_windows(
-        hot_samples, windows, ["file_path"], spread_by=["number"], broadcast_rows=limit, salts=salts
-    )
+def test_samples_in_windows(hot_samples, windows):
+    joined = J.samples_in_windows(hot_samples, windows, ["file_path"])
     got = sorted((r.file_path, r.number, r.trial) for r in joined.collect())
     assert got == brute_force(hot_samples, windows)
     plan = plan_of(joined)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert ("BroadcastHashJoin" in plan) or limit == 0
 
 
-@pytest.mark.parametrize("limit, salts", [(1000, 1), (0, 1), (0, 5)])
-def test_lookup_join_keeps_every_fact_once(spark, hot_samples, limit, salts):
+def test_lookup_join_keeps_every_fact_once(spark, hot_samples):
     lookup = spark.createDataFrame([("hot", "a"), ("f1", "b"), ("f1", "c")], "file_path string, tag string")
-    left = J.lookup_join(hot_samples, lookup, ["file_path"], "left", spread_by=["number"], broadcast_rows=limit, salts=salts)
+    left = J.lookup_join(hot_samples, lookup, ["file_path"], "left")
     counts = {r.tag: r["count"] for r in left.groupBy("tag").count().collect()}
     assert counts == {"a": 600, "b": 20, "c": 20, None: 80}
-    inner = J.lookup_join(hot_samples, lookup, ["file_path"], spread_by=["number"], broadcast_rows=limit, salts=salts)
+    inner = J.lookup_join(hot_samples, lookup, ["file_path"])
     assert inner.count() == 640
     with pytest.raises(ValueError):
-        J.lookup_join(hot_samples, lookup, ["file_path"], "full", spread_by=["number"])
+        J.lookup_join(hot_samples, lookup, ["file_path"], "full")
 
 
 def test_hot_key_is_split_at_run_time(spark, tmp_path):
@@ -106,7 +101,7 @@ def test_hot_key_is_split_at_run_time(spark, tmp_path):
     for k, v in changed.items():
         spark.conf.set(k, v)
     try:
-        joined = J.lookup_join(hot, lookup, ["file_path"], broadcast_rows=0)
+        joined = J.lookup_join(hot, lookup, ["file_path"])
         rows_, _ = joined.count(), joined.collect()
         assert rows_ == 200_000
         assert "skew=true" in plan_of(joined)
@@ -432,3 +427,34 @@ def test_snapped_counts_and_grid(spark):
     tiles = C.with_tile_bounds(W.exclude_unclassified(grid))
     assert tiles.count() == 9
     assert {(r.track, r.zone): (r.xmin, r.ymax) for r in tiles.collect()}[("3", "C")] == (2.5, 4.5)
+
+
+def test_blocks_keep_rows_without_order_or_key(spark):
+    rows = [("a", i if i != 5 else None, float(i)) for i in range(21)] + [(None, i, float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "s string, n int, v double")
+    plain = O.centered_rolling_mean(df, ["v"], 3, by=["s"], order=["n"])
+    blocked = O.blocked_rolling_mean(df, ["v"], 3, by=["s"], order=["n"], chunk=F.floor(F.col("n") / 4), block_rows=4)
+    key = lambda r: (r.s or "", -1 if r.n is None else r.n)
+    assert [tuple(r) for r in sorted(plain.collect(), key=key)] == [tuple(r) for r in sorted(blocked.collect(), key=key)]
+
+
+def test_file_without_one_sensor_keeps_its_extent(spark):
+    from turbilux.plans.pole_trials import sample_extents
+
+    start = dt.datetime(2022, 9, 25, 8)
+    rows = []
+    for name in ("both", "dark", "gap"):
+        for i in range(5):
+            light = None if name == "dark" or (name == "gap" and i == 0) else 10.0
+            rows.append((name, i, start + dt.timedelta(seconds=20 * i), 70.0, light, False))
+    samples = spark.createDataFrame(
+        rows, "file_path string, number int, date_time timestamp_ntz, temp_f double, intensity_lum_ft2 double, is_event boolean"
+    )
+    got = {r.file_path: r for r in sample_extents(samples).collect()}
+    assert set(got) == {"both", "dark", "gap"}
+    assert got["dark"].first_date_time == got["both"].first_date_time == start
+    assert got["dark"].measurement_interval == 20
+    # a value missing in a recorded sensor still drops the row
+    assert got["gap"].first_date_time == start + dt.timedelta(seconds=20)
+    used = spark.createDataFrame([("dark",)], "lightlogger_file_path string")
+    assert [r.file_path for r in sample_extents(samples, used).collect()] == ["dark"]

@@ -187,10 +187,9 @@ def test_pairing_by_time_alone(study):
     assert trials.filter(F.col("date") == DAYS[0]).count() == 8
 
 
-@pytest.mark.parametrize("series_rows", [1_000_000, 1])
-def test_trial_series(study, trials, series_rows):
+def test_trial_series(study, trials):
     frames, files = study
-    series = trial_series(trials, frames["samples"], series_rows=series_rows)
+    series = trial_series(trials, frames["samples"])
     got = {}
     for r in series.collect():
         got.setdefault((r.date, r.point_name, r.disturbance_number), {})[(r.number, r.logger_id)] = r
@@ -295,7 +294,7 @@ def test_legacy_heatmap_equals_outer_join_of_loggers(study, trials):
     from turbilux.operators.joins import samples_in_windows
     from turbilux.operators.pairing import mean_intensity
 
-    inside = samples_in_windows(frames["samples"], loggers, ["file_path"], spread_by=["number"])
+    inside = samples_in_windows(frames["samples"], loggers, ["file_path"])
     sides = [
         mean_intensity(inside.filter(F.col("logger_number") == n), ["point_name", "start_time"]).withColumnRenamed(
             "mean_intensity", f"logger_{n}_intensity"

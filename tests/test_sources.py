@@ -33,10 +33,9 @@ def expected(layout):
     return [(n, cut(t), temp, light, event is not None) for n, t, temp, light, event in series()]
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_three_layouts_in_one_scan(spark, logs, limit):
+def test_three_layouts_in_one_scan(spark, logs):
     lines = spark.read.text(str(logs)).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    samples = LF.parse_samples(lines, broadcast_rows=limit)
+    samples = LF.parse_samples(lines)
     assert samples.columns == list(LF.SAMPLE_COLUMNS)
     for i, layout in enumerate(LAYOUTS):
         mine = samples.filter(F.col("logger_sn") == f"2098{i}").orderBy("number").collect()
@@ -121,7 +120,7 @@ def test_tables_round_trip_and_prune(spark, logs, tmp_path):
     windows = spark.createDataFrame(
         [(START, START + dt.timedelta(minutes=1))], "start_time timestamp_ntz, end_time timestamp_ntz"
     )
-    inside = samples_in_windows(stored, windows, spread_by=["number"], day=TB.SAMPLE_DAY)
+    inside = samples_in_windows(stored, windows, day=TB.SAMPLE_DAY)
     assert inside.count() == sum(
         1 for i in range(3) for n, t, *_ in expected(LAYOUTS[i]) if START <= t < START + dt.timedelta(minutes=1)
     )

@@ -24,10 +24,12 @@ def _parts(text: Column, separator: str):
 
 
 def parse_logger_timestamp(c: Column | str) -> Column:
-    """``09/25/22 07:01:00 AM``, ``11/9/2022 12:30`` or ``11/9/2022 12:30:20`` to a wall-clock timestamp."""
+    """``09/25/22 07:01:00 AM``, ``11/9/22 4:59 PM``, ``11/9/2022 12:30`` or ``11/9/2022 12:30:20`` to a wall-clock timestamp."""
     text = F.trim(as_column(c))
+    half = text.endswith("AM") | text.endswith("PM")
+    digits = F.when(half, F.rtrim(F.left(text, F.length(text) - 2))).otherwise(text)
     # one kind of separator: splitting on a single character needs no pattern matching
-    part = _parts(F.translate(text, "/:", "  "), " ")
+    part = _parts(F.translate(digits, "/:", "  "), " ")
     hour = F.when(text.endswith("PM"), part(3) % 12 + 12).when(text.endswith("AM"), part(3) % 12).otherwise(part(3))
     year = F.when(part(2) < 100, part(2) + 2000).otherwise(part(2))
     return _wall_clock(year, part(0), part(1), hour, part(4), part(5, absent=0))

@@ -27,7 +27,7 @@ def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> D
     file = list(file)
     position = _position(order)
     last = df.groupBy(*file).agg(F.max(position).alias("_last"))
-    return lookup_join(df, last, file, spread_by=order).filter(position < F.col("_last")).drop("_last")
+    return lookup_join(df, last, file).filter(position < F.col("_last")).drop("_last")
 
 
 def file_extent(

@@ -1,9 +1,7 @@
 """Joins of a large frame with metadata.
 
-A metadata frame is broadcast only after its size was checked.  Past the limit the
-same join runs as a shuffle join.  There a hot key (a file or pole with a large share of
-all samples) is split at run time: adaptive execution sees the oversized partition and
-copies the lookup side for that partition only.  Known hot keys can be salted instead.
+They are plain equi-joins: the optimizer and adaptive execution broadcast a side that turns out small, and split the
+oversized partition of a hot key (a file or pole with a large share of all samples).
 """
 
 from __future__ import annotations
@@ -15,46 +13,12 @@ from pyspark.sql import functions as F
 
 from turbilux.functions.times import in_window
 
-# Narrow metadata rows (keys, two times, a few short texts): tens of MB at the limit.
-BROADCAST_ROWS = 200_000
 
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; counted in place, only a number reaches the driver."""
-    return df.count() <= rows
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    *,
-    spread_by: Sequence[str] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 1,
-    lookup_rows: int | None = None,
-) -> DataFrame:
-    """Join every fact row with its lookup rows (``inner`` or ``left``).
-
-    With ``salts`` above 1 the shuffle variant spreads each key over that many partitions
-    by the hash of ``spread_by`` (fact columns that differ within a key), at the price of
-    as many lookup copies.  ``lookup_rows`` is a known upper bound of the
-    lookup's rows; without it they are counted.
-    """
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join every fact row with its lookup rows (``inner`` or ``left``)."""
     if how not in ("inner", "left"):
         raise ValueError("lookup_join keeps the fact side: use inner or left")
-    if salts > 1 and not spread_by:
-        raise ValueError("salts need spread_by")
-    on = list(on)
-    small = fits(lookup, broadcast_rows) if lookup_rows is None else lookup_rows <= broadcast_rows
-    if small:
-        return facts.join(F.broadcast(lookup), on, how)
-    if salts == 1:
-        return facts.join(lookup, on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return facts.join(lookup, list(on), how)
 
 
 def window_days(windows: DataFrame, start: str, end: str, day: str) -> DataFrame:
@@ -71,10 +35,7 @@ def samples_in_windows(
     ts: str = "date_time",
     start: str = "start_time",
     end: str = "end_time",
-    spread_by: Sequence[str] = (),
     day: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 1,
 ) -> DataFrame:
     """Range join: samples with ``start <= ts < end`` of a window that shares the ``on`` keys.
 
@@ -84,14 +45,7 @@ def samples_in_windows(
     """
     key = day or "_day"
     keyed = samples if day else samples.withColumn(key, F.to_date(ts))
-    joined = lookup_join(
-        keyed,
-        window_days(windows, start, end, key),
-        [*on, key],
-        spread_by=spread_by,
-        broadcast_rows=broadcast_rows,
-        salts=salts,
-    ).filter(in_window(ts, start, end))
+    joined = lookup_join(keyed, window_days(windows, start, end, key), [*on, key]).filter(in_window(ts, start, end))
     return joined if day else joined.drop(key)
 
 

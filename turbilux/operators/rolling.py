@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,7 +70,8 @@ def series_positions(df: DataFrame, by: Sequence[str], order: Sequence[str], chu
     series in one task: ``chunk`` grows with ``order`` and cuts the series into pieces.
     """
     by = list(by)
-    pieces = df.withColumn("_chunk", chunk)
+    # rows without an order come first, as in a sort
+    pieces = df.withColumn("_chunk", F.coalesce(chunk.cast("long"), F.lit(-(2**62))))
     ahead = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         pieces.groupBy(*by, "_chunk")
@@ -76,9 +79,13 @@ def series_positions(df: DataFrame, by: Sequence[str], order: Sequence[str], chu
         .select(*by, "_chunk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*by, "_chunk").orderBy(*order)
+    keys = [*by, "_chunk"]
+    offsets = offsets.select(*(F.col(c).alias(f"_at_{i}") for i, c in enumerate(keys)), "_offset")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_at_{i}")) for i, c in enumerate(keys)))
     return (
         pieces.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [*by, "_chunk"])
+        .join(offsets, same)
+        .drop(*(f"_at_{i}" for i in range(len(keys))))
         .withColumn("_position", F.col("_offset") + F.col("_row") - 1)
         .drop("_chunk", "_row", "_offset")
     )

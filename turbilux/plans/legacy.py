@@ -21,7 +21,6 @@ def paired_window_means(
     *,
     by: Sequence[str] = ("point_name", "start_time"),
     value: str = "intensity_lum_ft2",
-    spread_by: Sequence[str] = ("number",),
     ts: str = "date_time",
     day: str | None = None,
 ) -> DataFrame:
@@ -30,7 +29,7 @@ def paired_window_means(
     Same rows as a full outer join of the two loggers' means: a pole with one working
     logger stays, a pole with none goes.
     """
-    inside = samples_in_windows(samples, windows, on, ts=ts, spread_by=spread_by, day=day)
+    inside = samples_in_windows(samples, windows, on, ts=ts, day=day)
     means = [
         nan_to_null(F.avg(F.when(F.col("logger_number") == n, nan_to_null(value)))).alias(f"logger_{n}_intensity")
         for n in (1, 2)

@@ -8,14 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turbilux.functions.light import rolling_width
+from turbilux.functions.missing import present_number
 from turbilux.operators.extent import common_extent, file_extent
-from turbilux.operators.joins import (
-    BROADCAST_ROWS,
-    fits,
-    join_disturbances,
-    join_problem_poles,
-    samples_in_windows,
-)
+from turbilux.operators.joins import join_disturbances, join_problem_poles, samples_in_windows
 from turbilux.operators.pairing import SAMPLE_KEYS, mean_attenuation, pair_loggers, pair_samples
 from turbilux.operators.reshape import pivot_loggers
 from turbilux.operators.rows import (
@@ -44,15 +39,21 @@ def usable_deployments(deployments: DataFrame, path_prefix: str = "../") -> Data
 def sample_extents(samples: DataFrame, deployments: DataFrame | None = None) -> DataFrame:
     """Time span and sampling interval per ``file_path``, from clean samples without the last.
 
-    Given deployments, files that none of them names stay out of the aggregation (while
-    their list is small enough to broadcast).
+    Given deployments, files that none of them names stay out.  A sensor that recorded nothing in a file is left out of
+    that file; of the others every row must have a value.
     """
-    readings = drop_any_null_rows(drop_event_rows(samples).select("file_path", "number", "date_time", "temp_f", LIGHT))
+    readings = drop_event_rows(samples).select("file_path", "number", "date_time", "temp_f", LIGHT)
     if deployments is not None:
         used = deployments.select(F.col(PATH).alias("file_path"))
-        if fits(used, BROADCAST_ROWS):
-            readings = readings.join(F.broadcast(used), ["file_path"], "left_semi")
-    return file_extent(readings)
+        readings = readings.join(used, ["file_path"], "left_semi")
+    sensors = ("temp_f", LIGHT)
+    recorded = readings.groupBy("file_path").agg(
+        *(F.count(F.when(present_number(c), F.lit(1))).alias(f"_n_{c}") for c in sensors)
+    )
+    kept = readings.join(recorded, ["file_path"])
+    for c in sensors:
+        kept = kept.filter((F.col(f"_n_{c}") == 0) | present_number(c))
+    return file_extent(drop_any_null_rows(kept.select("file_path", "number", "date_time")))
 
 
 def pole_deployments(deployments: DataFrame, extents: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def trial_means(
 ) -> DataFrame:
     """Mean attenuation of each trial that has sample pairs: one scan of the samples."""
     columns = ["file_path", "number", "date_time", LIGHT] + ([day] if day else [])
-    inside = samples_in_windows(samples.select(*columns), loggers, ["file_path"], spread_by=["number"], day=day)
+    inside = samples_in_windows(samples.select(*columns), loggers, ["file_path"], day=day)
     if "number" in pair_keys:
         pairs = pair_samples(inside, [*TRIAL, *pair_keys], [LIGHT])
     else:

@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 from turbilux.functions.geometry import trial_title
 from turbilux.functions.light import attenuation_pct, scale_to_axis
-from turbilux.functions.times import pad_window, seconds_between
+from turbilux.functions.times import pad_window
 from turbilux.operators.joins import samples_in_windows
 from turbilux.operators.pairing import pair_samples
 from turbilux.operators.reshape import unpivot_loggers
-from turbilux.operators.rolling import BLOCK_ROWS, blocked_rolling_mean, centered_rolling_mean
+from turbilux.operators.rolling import BLOCK_ROWS, blocked_rolling_mean
 from turbilux.plans.pole_trials import LIGHT, TRIAL, trial_loggers
 from turbilux.site import SERIES_PAD_MINUTES
 
-# A series this short is sorted within one task; longer ones are cut into blocks.
-SERIES_ROWS = 1_000_000
-
 
 def _padded(trials: DataFrame, minutes: int) -> DataFrame:
     start, end = pad_window("start_time", "end_time", minutes)
@@ -31,7 +28,6 @@ def paired_series(trials: DataFrame, samples: DataFrame, pad_minutes: int, day:
         samples.select(*columns),
         trial_loggers(_padded(trials, pad_minutes), "_k"),
         ["file_path"],
-        spread_by=["number"],
         day=day,
     )
     return pair_samples(
@@ -47,34 +43,30 @@ def trial_series(
     window_width: int | None = None,
     zero_light: str = "ieee",
     day: str | None = None,
-    series_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Long series: one row per trial, sample and logger.
 
-    ``trials`` should be stored or staged (``sources.tables.stage``): it is read for the
-    bounds, for the windows' size check and for the join.  ``window_width`` overrides the
-    trials' own ``sliding_window_width``.  The longest window and its interval (trial
-    metadata, one row to the driver) bound the rows of a series and choose between the
-    plain and the blocked rolling mean.
+    ``window_width`` overrides the trials' own ``sliding_window_width``; else the widest of these (trial metadata, one row
+    to the driver) bounds the windows.  Series of any length go the same way, cut into blocks.
     """
     width = F.lit(window_width) if window_width else F.round("sliding_window_width").cast("int")
     trials = trials.withColumn("_k", width)
-    window = seconds_between(*pad_window("start_time", "end_time", pad_minutes))
-    # a file without a known interval has at most two samples; one a second is ample
-    samples_in_window = F.coalesce(F.try_divide(window, F.col("measurement_interval")), window)
-    bounds = trials.agg(F.max("_k").alias("k_max"), F.max(samples_in_window).alias("rows")).first()
-    short = (bounds["rows"] or 0) < series_rows
+    k_max = window_width or trials.agg(F.max("_k")).first()[0] or 1
 
     pairs = paired_series(trials, samples, pad_minutes, day)
-    shape = dict(by=TRIAL, order=["number", "date_time"], k_max=bounds["k_max"] or 1)
     names = [f"{LIGHT}_rollmean_{n}" for n in (1, 2)]
     values = [f"{LIGHT}_{n}" for n in (1, 2)]
     k = window_width or "_k"
-    if short:
-        rolled = centered_rolling_mean(pairs, values, k, names=names, **shape)
-    else:
-        chunk = F.floor(F.col("number") / BLOCK_ROWS)
-        rolled = blocked_rolling_mean(pairs, values, k, names=names, chunk=chunk, **shape)
+    rolled = blocked_rolling_mean(
+        pairs,
+        values,
+        k,
+        by=TRIAL,
+        order=["number", "date_time"],
+        k_max=k_max,
+        names=names,
+        chunk=F.floor(F.col("number") / BLOCK_ROWS),
+    )
 
     pct = attenuation_pct(*values, zero_light)
     roll_pct = attenuation_pct(*names, zero_light)

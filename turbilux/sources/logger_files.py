@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turbilux.functions.times import parse_logger_timestamp
-from turbilux.operators.joins import BROADCAST_ROWS, lookup_join
+from turbilux.operators.joins import lookup_join
 from turbilux.site import EVENT_MARK
 from turbilux.sources.names import clean_header_field
 
@@ -91,14 +91,7 @@ def _typed(place) -> list[Column]:
     ]
 
 
-def parse_samples(
-    lines: DataFrame,
-    places: str = "header",
-    *,
-    files: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 1,
-) -> DataFrame:
+def parse_samples(lines: DataFrame, places: str = "header") -> DataFrame:
     """Text lines to the long sample schema (``SAMPLE_COLUMNS``).
 
     ``places="header"`` takes each file's column places, serial and offset from its own
@@ -116,17 +109,7 @@ def parse_samples(
     if places != "header":
         raise ValueError("places must be 'header' or 'usual'")
     headers = parse_headers(lines).drop("names")
-    joined = lookup_join(
-        fields,
-        headers,
-        ["file_path"],
-        "left",
-        spread_by=["ordinal"],
-        broadcast_rows=broadcast_rows,
-        salts=salts,
-        lookup_rows=files,
-    )
-    return joined.select(
+    return lookup_join(fields, headers, ["file_path"], "left").select(
         "file_path",
         "logger_sn",
         "gmt_offset",
@@ -135,12 +118,6 @@ def parse_samples(
 
 
 def read_samples(spark: SparkSession, paths: str | list[str], places: str = "header") -> DataFrame:
-    """Samples and events of all given files or folders.
-
-    A file has one header, so the listing Spark already made bounds the header table;
-    no counting job runs.
-    """
-    scan = spark.read.text(paths)
-    files = len(scan.inputFiles()) if places == "header" else None
-    lines = scan.select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return parse_samples(lines, places, files=files)
+    """Samples and events of all given files or folders."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return parse_samples(lines, places)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +25,14 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 def stage(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage, in the cluster's shared checkpoint folder.
 
-    For small tables several jobs read.  Only a local run without that setting gets a
-    temporary folder; on a cluster it would not be shared.
+    For small tables several jobs read.  ``spark.checkpoint.dir`` must name a folder that all executors share.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+        if shared is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="turbilux-checkpoint-"))
+        context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
 
 
