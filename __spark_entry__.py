@@ -300,14 +300,14 @@ def _logger_ingest_usual(spark, sf):
 
 @query(
     "date_plus_time",
-    """select e.event_id, cast(o.o_orderdate as date) + (date_trunc('second', e.ts) - date_trunc('day', e.ts)) moved_ts
-       from events e join orders o on e.event_id = o.o_orderkey""",
+    """select event_id, (cast(ts as date) + cast(user_id % 7 as integer)) + (date_trunc('second', ts) - date_trunc('day', ts)) moved_ts
+       from events""",
 )
 def _date_plus_time(spark, sf):
-    """The order's day with the event's time of day."""
-    events = V.table(spark, sf, "events").select("event_id", "ts")
-    orders = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"), "o_orderdate")
-    return events.join(orders, "event_id").select("event_id", date_plus_time("o_orderdate", "ts").alias("moved_ts"))
+    """A day of the user's with the event's time of day."""
+    events = V.table(spark, sf, "events")
+    day = F.date_add(F.to_date("ts"), (F.col("user_id") % 7).cast("int"))
+    return events.select("event_id", date_plus_time(day, "ts").alias("moved_ts"))
 
 
 @query(
