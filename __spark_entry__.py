@@ -423,6 +423,54 @@ def _trial_series(spark, sf):
     return rounded(trial_series(trials, samples, window_width=2, zero_light="skip"))
 
 
+@query(
+    "trial_series_own_width",
+    f"""with s as (
+         select *, floor(intensity_lum_ft2 / 20) light from v_file_samples),
+       p as (
+         select t.date, t.point_name, t.disturbance_number d, a."number", a.date_time,
+                a.temp_f t1, b.temp_f t2, a.light i1, b.light i2
+         from v_pole_trials t
+         join s a on a.file_path = t.path_1
+         join s b on b.file_path = t.path_2 and a."number" = b."number" and a.date_time = b.date_time
+         where a.date_time >= t.start_time - interval '20' minute and a.date_time < t.end_time + interval '20' minute),
+       w as (
+         select *,
+                case when d = 1 and count(i1) over two = 2 then avg(i1) over two
+                     when d = 2 and count(i1) over three = 3 then avg(i1) over three
+                     when d = 3 and count(i1) over four = 4 then avg(i1) over four end r1,
+                case when d = 1 and count(i2) over two = 2 then avg(i2) over two
+                     when d = 2 and count(i2) over three = 3 then avg(i2) over three
+                     when d = 3 and count(i2) over four = 4 then avg(i2) over four end r2
+         from p
+         window two as (partition by date, point_name, d order by "number" rows between current row and 1 following),
+                three as (partition by date, point_name, d order by "number" rows between 1 preceding and 1 following),
+                four as (partition by date, point_name, d order by "number" rows between 1 preceding and 2 following)),
+       l as (
+         select *,
+                case when i1 > 0 then 100 * (i1 - i2) / i1 when i2 > 0 then '-infinity'::double end pct,
+                case when r1 > 0 then 100 * (r1 - r2) / r1 when r2 > 0 and r1 = 0 then '-infinity'::double end roll_pct from w),
+       u as (
+         select *, '1' logger_id, t1 temp_f, i1 intensity, r1 rollmean from l union all
+         select *, '2' logger_id, t2, i2, r2 from l)
+       select date, point_name, d disturbance_number, "number", date_time, logger_id,
+              {r6('temp_f')} temp_f, {r6('intensity')} intensity_lum_ft2, {r6('rollmean')} intensity_lum_ft2_rollmean,
+              {r6('pct')} light_attenuation_pct, {r6('roll_pct')} light_attenuation_rollmean_pct,
+              {r6('pct * 100')} attenuation_on_axis, {r6('roll_pct * 100')} attenuation_rollmean_on_axis,
+              cast(date as varchar) || ', Pole ' || point_name || ', Disturbance ' || d title
+       from u""",
+)
+def _trial_series_own_width(spark, sf):
+    """Each trial's own window (two to four samples), over light in coarse steps: zero light follows IEEE."""
+    deployments, samples, disturbances = _study_inputs(spark, sf)
+    usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
+    trials = planned_trials(usable, sample_extents(samples, usable), disturbances).withColumn(
+        "sliding_window_width", rolling_width(300 / F.col("disturbance_number"))
+    )
+    coarse = samples.withColumn("intensity_lum_ft2", F.floor(F.col("intensity_lum_ft2") / 20).cast("double"))
+    return rounded(trial_series(trials, coarse))
+
+
 @query(
     "rolling_mean",
     f"""select pole_id, slot_ts, {r6('i1')} intensity_1, {r6('i2')} intensity_2,
@@ -442,7 +490,8 @@ def _rolling_mean(spark, sf):
             4,
             by=["pole_id"],
             order=["slot_ts"],
-            chunk=F.floor(wall_seconds("slot_ts") / (86400 * 365)),
+            chunk=F.floor(wall_seconds("slot_ts") / 86400),
+            block_rows=64,
             names=["intensity_rollmean_1", "intensity_rollmean_2"],
         )
     )

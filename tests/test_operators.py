@@ -354,9 +354,9 @@ def test_rolling_mean_width_per_series(series):
     widths = {"long": 16, "short": 2, "gaps": 7}
     k = F.when(F.col("s") == "long", 16).when(F.col("s") == "short", 2).otherwise(7)
     wide = df.withColumn("k", k)
-    check_rolled(data, O.centered_rolling_mean(wide, ["v"], "k", by=["s"], order=["number"], k_max=16), widths.get)
+    check_rolled(data, O.centered_rolling_mean(wide, ["v"], "k", by=["s"], order=["number"]), widths.get)
     blocked = O.blocked_rolling_mean(
-        wide, ["v"], "k", by=["s"], order=["number"], k_max=16, chunk=F.floor(F.col("number") / 10), block_rows=20
+        wide, ["v"], "k", by=["s"], order=["number"], chunk=F.floor(F.col("number") / 10), block_rows=20
     )
     check_rolled(data, blocked, widths.get)
 

@@ -12,29 +12,33 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 65_536
 
 
-def _reach(k: int) -> tuple[int, int]:
-    """Rows before and after the centre; an even window reaches one further ahead."""
-    return (k - 1) // 2, k // 2
+# row numbers are divided by k in steps of 2^-30; this many stay below half a row for any k up to 10^8
+_STEP_BITS = 30
+_MARGIN = 2
 
 
-def _fixed_mean(value: str, k: int, series: Window) -> Column:
-    before, after = _reach(k)
-    frame = series.rowsBetween(-before, after)
-    v = F.when(~F.isnan(value), F.col(value))
-    return F.when(F.count(v).over(frame) == k, F.avg(v).over(frame))
+def _mean_around(value: str, k: Column, steps: Window) -> Column:
+    """Difference of two running sums: all up to the window's last row less all before its first.
 
-
-def _varying_mean(value: str, k: Column, k_max: int, series: Window) -> Column:
-    """The window width comes from a column (at most ``k_max``)."""
-    before_max, after_max = _reach(k_max)
-    v = F.when(~F.isnan(value), F.col(value))
-    around = F.collect_list(F.struct(v.alias("v"))).over(series.rowsBetween(-before_max, after_max))
-    here = F.least(F.row_number().over(series), F.lit(before_max + 1))
-    start = here - F.floor((k - 1) / 2).cast("int")
-    fits = (k >= 1) & (k <= k_max) & (start >= 1) & (start + k - 1 <= F.size(around))
-    # a NULL in the window makes the sum, and so the mean, NULL
-    total = F.aggregate(F.slice(around, start, k), F.lit(0.0), lambda acc, item: acc + item["v"])
-    return F.when(fits, total / k)
+    ``steps`` orders by row number over k.  An even window reaches one further ahead, so both ends lie just after -1/2 and
+    +1/2.  Running sums take the same time for any width.
+    """
+    v = F.when(~F.isnan(value), F.col(value).cast("double"))
+    endless = F.lit(float("inf"))
+    parts = {
+        "n": F.count(v),
+        "sum": F.sum(F.when(F.abs(v) != endless, v)),
+        "up": F.count(F.when(v == endless, v)),
+        "down": F.count(F.when(v == -endless, v)),
+    }
+    half = 1 << (_STEP_BITS - 1)
+    last = steps.rangeBetween(Window.unboundedPreceding, half + _MARGIN)
+    first = steps.rangeBetween(Window.unboundedPreceding, -half + _MARGIN)
+    n, total, up, down = (
+        F.coalesce(p.over(last), F.lit(0)) - F.coalesce(p.over(first), F.lit(0)) for p in parts.values()
+    )
+    total = F.when(up > 0, endless).otherwise(F.lit(0.0)) - F.when(down > 0, endless).otherwise(F.lit(0.0)) + total
+    return F.when(n == k, total / n)
 
 
 def centered_rolling_mean(
@@ -44,27 +48,31 @@ def centered_rolling_mean(
     *,
     by: Sequence[str],
     order: Sequence[str],
-    k_max: int | None = None,
     suffix: str = "_rollmean",
     names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds ``<value><suffix>``: the mean of k rows around each row, NULL near the ends.
 
-    ``k`` is a number or the name of an integer column (then ``k_max`` bounds it).
-    Every series is sorted within one task: use it where a series' length is known to
-    be moderate, and ``blocked_rolling_mean`` otherwise.
+    ``k`` is a number or the name of an integer column that is the same in all rows of a series; where it is NULL or less
+    than 1 there is no mean.  Work does not depend on k.  Every series is sorted within one task: use it where a series'
+    length is known to be moderate, and ``blocked_rolling_mean`` otherwise.
     """
-    series = Window.partitionBy(*by).orderBy(*order)
     names = list(names) if names else [f"{v}{suffix}" for v in values]
-    if isinstance(k, int):
-        return df.withColumns({n: _fixed_mean(v, k, series) for n, v in zip(names, values)})
-    if k_max is None:
-        raise ValueError("k_max is needed when k is a column")
-    return df.withColumns(
-        {n: _varying_mean(v, F.col(k).cast("int"), k_max, series) for n, v in zip(names, values)}
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    steps = Window.partitionBy(*by).orderBy("_steps")
+    return (
+        df.withColumns({"_width": _width(k), "_row": place.cast("long")})
+        .withColumn("_steps", F.expr(f"shiftleft(_row, {_STEP_BITS}) div _width"))
+        .withColumns({n: _mean_around(v, F.col("_width"), steps) for n, v in zip(names, values)})
+        .drop("_width", "_row", "_steps")
     )
 
 
+def _width(k: int | str) -> Column:
+    width = F.lit(k) if isinstance(k, int) else F.col(k).cast("int")
+    return F.when(width >= 1, width)
+
+
 def series_positions(df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column) -> DataFrame:
     """Adds ``_position``, the 0-based row number in the series, without sorting a whole
     series in one task: ``chunk`` grows with ``order`` and cuts the series into pieces.
@@ -99,7 +107,6 @@ def blocked_rolling_mean(
     by: Sequence[str],
     order: Sequence[str],
     chunk: Column,
-    k_max: int | None = None,
     block_rows: int = BLOCK_ROWS,
     suffix: str = "_rollmean",
     names: Sequence[str] | None = None,
@@ -110,22 +117,20 @@ def blocked_rolling_mean(
     block where a window reaches over the cut; each block is then an ordinary series.
     Copies leave after the window, so every row returns exactly once.
     """
-    width = k if isinstance(k, int) else k_max
-    if width is None:
-        raise ValueError("k_max is needed when k is a column")
-    block_rows = max(block_rows, width)
-    before, after = _reach(width)
-    block = F.floor(F.col("_position") / block_rows)
+    width = F.coalesce(_width(k), F.lit(1))
+    # an even window reaches one row further ahead
+    before, after = F.floor((width - 1) / 2), F.floor(width / 2)
+    rows = F.greatest(F.lit(block_rows), width)
+    position = F.col("_position")
     reached = F.sequence(
-        F.floor(F.greatest(F.col("_position") - after, F.lit(0)) / block_rows),
-        F.floor((F.col("_position") + before) / block_rows),
+        F.floor(F.greatest(position - after, F.lit(0)) / rows), F.floor((position + before) / rows)
     )
     copies = (
         series_positions(df, by, order, chunk)
-        .withColumn("_home", block)
+        .withColumn("_home", F.floor(position / rows))
         .withColumn("_block", F.explode(reached))
     )
     rolled = centered_rolling_mean(
-        copies, values, k, by=[*by, "_block"], order=["_position"], k_max=k_max, suffix=suffix, names=names
+        copies, values, k, by=[*by, "_block"], order=["_position"], suffix=suffix, names=names
     )
     return rolled.filter(F.col("_block") == F.col("_home")).drop("_position", "_home", "_block")

@@ -46,24 +46,20 @@ def trial_series(
 ) -> DataFrame:
     """Long series: one row per trial, sample and logger.
 
-    ``window_width`` overrides the trials' own ``sliding_window_width``; else the widest of these (trial metadata, one row
-    to the driver) bounds the windows.  Series of any length go the same way, cut into blocks.
+    ``window_width`` overrides the trials' own ``sliding_window_width``.  Series of any length and windows of any width go
+    the same way, cut into blocks.
     """
     width = F.lit(window_width) if window_width else F.round("sliding_window_width").cast("int")
     trials = trials.withColumn("_k", width)
-    k_max = window_width or trials.agg(F.max("_k")).first()[0] or 1
-
     pairs = paired_series(trials, samples, pad_minutes, day)
     names = [f"{LIGHT}_rollmean_{n}" for n in (1, 2)]
     values = [f"{LIGHT}_{n}" for n in (1, 2)]
-    k = window_width or "_k"
     rolled = blocked_rolling_mean(
         pairs,
         values,
-        k,
+        "_k",
         by=TRIAL,
         order=["number", "date_time"],
-        k_max=k_max,
         names=names,
         chunk=F.floor(F.col("number") / BLOCK_ROWS),
     )
