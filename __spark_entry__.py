@@ -18,15 +18,17 @@ from turbilux.functions.light import rolling_width  # noqa: E402
 from turbilux.functions.times import date_plus_time, parse_date, parse_logger_timestamp, wall_seconds  # noqa: E402
 from turbilux.operators import cells as C  # noqa: E402
 from turbilux.operators.extent import drop_last_row, file_extent, harmonise_extent  # noqa: E402
-from turbilux.operators.joins import samples_in_windows  # noqa: E402
+from turbilux.operators.joins import join_coordinates, samples_in_windows  # noqa: E402
 from turbilux.operators.pairing import mean_attenuation, mean_intensity, pair_loggers, pair_samples, pairing_report  # noqa: E402
-from turbilux.operators.reshape import pivot_loggers, split_on_borders, unpivot_loggers  # noqa: E402
+from turbilux.operators.reshape import bind_rows, pivot_loggers, split_on_borders, unpivot_loggers  # noqa: E402
 from turbilux.operators.rolling import blocked_rolling_mean  # noqa: E402
 from turbilux.operators.rows import (  # noqa: E402
     clip_to_site,
     drop_all_null_columns,
     drop_any_null_rows,
     drop_event_rows,
+    drop_na,
+    drop_prefixed,
     exclude_dates,
     exclude_flagged,
     exclude_matching,
@@ -206,6 +208,24 @@ def _legacy_heatmap_one(spark, sf):
     )
 
 
+@query(
+    "legacy_heatmap_per_disturbance",
+    f"""select p.pole_id, p.start_time, k.date, k.disturbance_number,
+              {r6('p.i1')} logger_1_intensity, {r6('p.i2')} logger_2_intensity,
+              {r6('100 * (p.i2 - p.i1) / nullif(p.i1, 0)')} light_attenuation,
+              {r6('k.coord_x')} coord_x, {r6('k.coord_y')} coord_y, {r6('-k.coord_x')} map_x
+       from v_legacy_pairs p
+       join (select a.date, a.disturbance_number, a.pole_id, c.coord_x, c.coord_y from v_att a join v_xy c on a.pole_id = c.pole_id) k
+         on k.pole_id = p.pole_id and k.date = cast(p.start_time as date)""",
+)
+def _legacy_heatmap_fan_out(spark, sf):
+    """A pole is listed once for each disturbance of a day: every pair meets all of them."""
+    listed = V.attenuation(spark, sf).select("date", "disturbance_number", "pole_id").join(_xy(spark, sf), "pole_id")
+    paired = _window_means(spark, sf)
+    joined = legacy_pole_heatmap(paired, listed, on=["pole_id", "date"], zero_light="skip")
+    return rounded(require_present(joined, "disturbance_number"))
+
+
 # --- files ---------------------------------------------------------------------------
 
 EXTENT = """select user_id, min(ts) first_date_time, max(ts) last_date_time,
@@ -603,6 +623,19 @@ def _pole_map_one(spark, sf):
     return rounded(pole_map(coords, date="2022-07-01"))
 
 
+@query(
+    "pole_map_listed_dates",
+    f"""select date, disturbance_id, line_id, point_name, point_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y,
+              {r6('-coord_x')} map_x
+       from v_coordinates where date in (date '2022-06-25', date '2022-07-01', date '2022-07-10')""",
+)
+def _pole_map_listed(spark, sf):
+    coords = coordinates(V.coordinate_sheet(spark, sf)).select(
+        "date", "disturbance_id", "line_id", "point_name", "point_id", "coord_x", "coord_y"
+    )
+    return rounded(pole_map(coords, date=["2022-06-25", "2022-07-01", "2022-07-10"]))
+
+
 # --- cells and roll-ups --------------------------------------------------------------
 
 
@@ -704,6 +737,61 @@ def _gridded(spark, sf):
     return rounded(gridded_poles(V.attenuation_with_problems(spark, sf), _xy(spark, sf), on=["pole_id"]))
 
 
+@query(
+    "gridded_poles_listed_twice",
+    f"""select distinct date, disturbance_number, pole_id, {r6('light_attenuation_mean')} light_attenuation_mean, problem,
+              {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, track, zone
+       from v_gridded cross join (values (1), (2)) listed(n)""",
+)
+def _gridded_twice(spark, sf):
+    """A sheet that names every pole twice still gives each placed pole once."""
+    listed = bind_rows(_xy(spark, sf), _xy(spark, sf))
+    return rounded(gridded_poles(V.attenuation_with_problems(spark, sf), listed, on=["pole_id"]))
+
+
+@query(
+    "bound_sheets",
+    f"""select c_custkey point_id, c_name point_name, {r6('c_acctbal')} balance, c_mktsegment segment from customer where c_acctbal >= 0
+       union all select s_suppkey, s_name, {r6('s_acctbal')}, null from supplier where s_acctbal >= 0""",
+)
+def _bound_sheets(spark, sf):
+    """Two sheets of unlike columns below each other, without spill columns and rows that lack a number."""
+    known = lambda c: F.when(F.col(c) >= 0, F.col(c)).alias("balance")
+    customers = V.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("point_id"), F.col("c_name").alias("point_name"), known("c_acctbal"),
+        F.col("c_mktsegment").alias("segment"), F.lit("?").alias("_c4"),
+    )
+    suppliers = V.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("point_id"), F.col("s_name").alias("point_name"), known("s_acctbal")
+    )
+    return rounded(drop_na(drop_prefixed(bind_rows(customers, suppliers), "_c"), "balance"))
+
+
+@query(
+    "coordinates_by_trial",
+    f"""with t as (select date '2022-06-20' + cast(c_nationkey as integer) date, cast(c_nationkey % 3 + 1 as integer) disturbance_number,
+                      case when c_mktsegment = 'MACHINERY' then 'X' else substr(c_mktsegment, 1, 1) end point_name,
+                      avg(c_acctbal) light
+               from customer group by 1, 2, 3)
+       select t.date, t.disturbance_number, t.point_name, {r6('light')} light, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y
+       from t left join v_coordinates c
+         on c.date = t.date and c.disturbance_id = t.disturbance_number and c.point_name = t.point_name""",
+)
+def _coordinates_by_trial(spark, sf):
+    """Places by point, day and disturbance; points with several places give several rows."""
+    first = F.substring("c_mktsegment", 1, 1)
+    trials = (
+        V.table(spark, sf, "customer")
+        .groupBy(
+            F.date_add(F.lit("2022-06-20").cast("date"), F.col("c_nationkey")).alias("date"),
+            (F.col("c_nationkey") % 3 + 1).cast("int").alias("disturbance_number"),
+            F.when(F.col("c_mktsegment") == "MACHINERY", "X").otherwise(first).alias("point_name"),
+        )
+        .agg(F.avg("c_acctbal").alias("light"))
+    )
+    return rounded(join_coordinates(trials, coordinates(V.coordinate_sheet(spark, sf))))
+
+
 @query(
     "grid_tiles",
     f"""select g.track, g.zone, xmin, xmax, ymin, ymax, e.mean_light_attenuation, e.sd_light_attenuation
@@ -721,21 +809,21 @@ def _grid_tiles(spark, sf):
     f"""select i x, j y, count(p.pole_id) cnt
        from (values (1, 0, 100), (2, 100, 200), (3, 200, 300)) xs(i, x0, x1)
        cross join (values (1, 0, 50), (2, 50, 100), (3, 100, 200)) ys(j, y0, y1)
-       left join (select pole_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_xy) p
+       left join v_xy p
          on p.coord_x between x0 and x1 and p.coord_y between y0 and y1
        group by 1, 2""",
 )
 def _points_in_cells(spark, sf):
-    return C.points_in_cells(rounded(V.pole_places(spark, sf)))
+    return C.points_in_cells(V.pole_places(spark, sf))
 
 
 @query(
     "count_by_snapped",
     f"""select round_even(coord_x / 100, 0) * 100 + 0.0 as coord_x, round_even(coord_y / 100, 0) * 100 + 0.0 as coord_y, count(*) n
-       from (select {r6('coord_x')} coord_x, {r6('coord_y')} coord_y from v_xy) p group by 1, 2""",
+       from v_xy group by 1, 2""",
 )
 def _count_by_snapped(spark, sf):
-    return C.count_by_snapped(rounded(V.pole_places(spark, sf)))
+    return C.count_by_snapped(V.pole_places(spark, sf))
 
 
 @query(

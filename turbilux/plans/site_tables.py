@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -122,6 +123,7 @@ def grid_with(table: DataFrame) -> DataFrame:
 
 
 def pole_map(coords: DataFrame, date=None, order: Sequence[str] = ("date", "disturbance_id", "line_id")) -> DataFrame:
-    """Poles as seen from the shore (x mirrored), in line order; all days or one."""
-    points = coords if date is None else coords.filter(F.col("date") == F.lit(date).cast("date"))
+    """Poles as seen from the shore (x mirrored), in line order; all days, one day or a list of days."""
+    days = [date] if date is None or isinstance(date, str | datetime.date) else list(date)
+    points = coords if days == [None] else coords.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]))
     return arrange(points.withColumn("map_x", mirror_x("coord_x")), *order)
