@@ -368,6 +368,21 @@ def test_even_window_reaches_ahead(spark):
     assert rolled[7][3] == 8.5
 
 
+def test_rolling_mean_of_odd_values_and_widths(spark):
+    inf = float("inf")
+    data = [("a", n, v, 2) for n, v in enumerate([1.0, inf, 2.0, 0.0, 0.0, float("nan"), 3.0, -inf, 5.0, 7.0])]
+    data += [("none", n, 1.0, None) for n in range(3)] + [("zero", n, 1.0, 0) for n in range(3)]
+    df = spark.createDataFrame(data, "s string, number int, v double, k int")
+    want = [inf, inf, 1.0, 0.0, None, None, -inf, -inf, 6.0, None] + [None] * 6
+    plain = O.centered_rolling_mean(df, ["v"], "k", by=["s"], order=["number"])
+    blocked = O.blocked_rolling_mean(
+        df, ["v"], "k", by=["s"], order=["number"], chunk=F.floor(F.col("number") / 3), block_rows=2
+    )
+    for rolled in (plain, blocked):
+        assert [r.v_rollmean for r in rolled.orderBy("s", "number").collect()] == want
+        assert rolled.columns == [*df.columns, "v_rollmean"]
+
+
 def test_positions_without_sorting_a_whole_series(spark):
     df = spark.createDataFrame([("a", n * n) for n in range(100)], "s string, number int").repartition(7)
     placed = O.series_positions(df, ["s"], ["number"], F.floor(F.col("number") / 500))
