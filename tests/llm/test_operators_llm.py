@@ -400,6 +400,72 @@ def test_near_copies_with_few_edits(spark):
     assert all(r.kept and r.class_size == 1 for r in got if r.doc_id >= 60)
 
 
+def _one_bucket(texts):
+    """Do all texts share their only sketch?"""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    return len(set(order_minhash.order_sketches(order_minhash._lowered_words(batch), 5, 1)[1][:, 0].tolist())) == 1
+
+
+def _edited(words, places, mark):
+    return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("tile", [order_minhash.TILE, 3])
+def test_five_clusters_in_one_bucket(spark, tile):
+    for seed in range(1000):
+        passage = [f"p{seed}x{i}" for i in range(60)]
+        clusters = [[f"c{seed}x{k}x{i}" for i in range(40)] for k in range(5)]
+        texts = [" ".join(passage + _edited(c, {n}, "e")) for c in clusters for n in (3, 20, 37)]
+        if _one_bucket(texts):
+            break
+    else:
+        raise AssertionError("no seed puts the texts into one bucket")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = order_minhash.near_groups(docs, sketches=1, tile=tile).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == {i: (i - i % 3, 3) for i in range(15)}
+
+
+def test_chains_in_one_bucket(spark):
+    rows, seed = [], 0
+    while len(rows) < 36:
+        base = [f"b{seed}x{i}" for i in range(100)]
+        # ends 30 edits apart, both 15 from the middle
+        chain = [base, _edited(base, set(range(15)), "e"), _edited(base, set(range(30)), "e")]
+        texts = [" ".join(c) for c in chain]
+        if _one_bucket(texts):
+            rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+        seed += 1
+    got = order_minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), sketches=1).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == {i: (i - i % 3, 3) for i in range(36)}
+
+
+@pytest.mark.parametrize("tile", [order_minhash.TILE, 4])
+def test_all_pairs_of_buckets_count(spark, tile):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(25)]
+    rows = []
+    for k in range(12):
+        text = passage + [f"c{k}x{i}" for i in range(25)]
+        for _ in range(6):
+            text = [w if rng.random() > 0.1 else f"n{rng.randrange(10**6)}" for w in text]
+            rows.append((len(rows), " ".join(text)))
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows])], ["text"])
+    sketches = order_minhash.order_sketches(order_minhash._lowered_words(batch), 5, 4)[1]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = rows[i][1].split(), rows[j][1].split()
+            if (sketches[i] == sketches[j]).any() and _distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = order_minhash.near_groups(docs, sketches=4, tile=tile).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: find(i) for i in range(len(rows))}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (None, 3)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()

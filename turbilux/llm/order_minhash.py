@@ -2,8 +2,9 @@
 
 Shingles of five words, labelled by their occurrence in the text, are hashed by several functions.  Each function samples
 its two least shingles and keeps them in text order; a pair in common makes two texts candidates.  A bucket is compared
-with its most central text, what does not match it with the next one, and so on: work is linear in a bucket for
-each round, and no bucket lists its pairs.  Candidates are verified by edit distance over words inside a band.
+with its most central text, what does not match it with the next one, and so on, which joins most of a bucket by work linear
+in it.  Then every pair of a bucket that is not yet in one component is compared, in tiles of bounded size: bounds on the
+distance that cannot reject a similar pair come first.  Candidates are verified by edit distance over words inside a band.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,14 @@ from turbilux.llm.text_arrays import Words, blocks, mix, text_of, utf8
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
-# leaders a bucket is compared with, one after the other
+# leaders a bucket is compared with, one after the other, before the pairs that are still open
 ROUNDS = 3
+# members (about) on each side of a tile of open pairs
+TILE = 512
+# classes of words whose counts bound the distance of two texts from below
+BINS = 256
+# pairs whose bounds are computed at once
+PAIRS = 4096
 # texts whose number alone may be broadcast to pick them from the table (8 bytes each)
 BROADCAST_NODES = 200_000
 
@@ -177,17 +185,128 @@ def _verified(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
     return joined.mapInArrow(run, "leader long, node long")
 
 
+def _open_rows(members: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
+    """Members of buckets that hold several components, once for each tile: bucket, i, j, role, small, node, component.
+
+    Two members of different components are not both in the largest one of their bucket.  So the others (``small``), in
+    chunks i, are compared with all members, in chunks j; role 1 is a member of chunk i, 2 one of chunk j, 3 both.
+    """
+    tagged = staged(
+        members.select("bucket", "node")
+        .join(parts, "node", "left")
+        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    )
+    counts = tagged.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "component"))
+    shape = counts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("components"),
+        largest["component"].alias("largest"),
+        F.ceil(F.sum("n") / tile).cast("int").alias("all_chunks"),
+        F.ceil((F.sum("n") - largest["n"]) / tile).cast("int").alias("small_chunks"),
+    )
+    rows = tagged.join(shape.where("components > 1"), "bucket").withColumn("small", F.expr("component <> largest"))
+    tiles = F.expr(
+        """case when all_chunks = 1 then array(struct(0 as i, 0 as j, if(small, 3, 2) as role))
+           else concat(
+             transform(sequence(0, small_chunks - 1),
+                       i -> struct(i as i, cast(pmod(xxhash64(node), all_chunks) as int) as j, 2 as role)),
+             if(small, transform(sequence(0, all_chunks - 1),
+                                 j -> struct(cast(pmod(xxhash64(node, 1), small_chunks) as int) as i, j as j, 1 as role)),
+                array())) end"""
+    )
+    rows = rows.select("bucket", "node", "component", "small", F.explode(tiles).alias("t"))
+    return rows.select("bucket", "t.i", "t.j", "t.role", "small", "node", "component")
+
+
+def _open_pairs(tile: pa.Table, least: float) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of a tile that have to be verified: the others are joined, too far apart or met in an earlier bucket."""
+    role, node, component = (tile.column(c).to_numpy() for c in ("role", "node", "component"))
+    small = tile.column("small").to_numpy()
+    sketch = tile.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+    size = pc.binary_length(tile.column("words")).to_numpy() // 4
+    at = int(np.flatnonzero(sketch[0] == tile.column("bucket")[0].as_py())[0])
+    left, right = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
+    bins: dict[int, np.ndarray] = {}
+
+    def counts(i: int) -> np.ndarray:
+        if i not in bins:
+            words = np.frombuffer(tile.column("words")[i].as_buffer(), "<u4")
+            bins[i] = np.bincount(words % BINS, minlength=BINS).astype(np.int32)
+        return bins[i]
+
+    for a in left.tolist():
+        b = right[(component[right] != component[a]) & (~small[right] | (node[right] > node[a]))]
+        limit = ((1 - least) * np.maximum(size[a], size[b]) + 1e-9).astype(np.int64)
+        b, limit = (x[np.abs(size[b] - size[a]) <= limit] for x in (b, limit))
+        # a pair belongs to the first bucket that it shares
+        first = ~(sketch[b, :at] == sketch[a, :at]).any(axis=1)
+        b, limit = b[first], limit[first]
+        for k in range(0, len(b), PAIRS):
+            some = b[k : k + PAIRS]
+            # an edit changes two counts at most, and as many words as the lengths differ have no partner
+            apart = np.abs(np.stack([counts(i) for i in some.tolist()]) - counts(a)).sum(axis=1)
+            near = apart + np.abs(size[some] - size[a]) <= 2 * limit[k : k + PAIRS]
+            yield from ((a, i) for i in some[near].tolist())
+
+
+def _open_links(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (leader, node) among the open pairs of all tiles; a link that earlier ones of the same task imply is left out."""
+    key = ["bucket", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                x = above[x]
+            return x
+
+        def links(tile: pa.Table) -> pa.RecordBatch:
+            node, component, words = (tile.column(c) for c in ("node", "component", "words"))
+            found = []
+            for a, b in _open_pairs(tile, least):
+                x, y = top(component[a].as_py()), top(component[b].as_py())
+                texts = (np.frombuffer(words[i].as_buffer(), "<u4") for i in (a, b))
+                if x != y and similar(*texts, least):
+                    above[x] = y
+                    found.append((node[a].as_py(), node[b].as_py()))
+            columns = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["leader", "node"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            if not len(table):
+                continue
+            change = np.zeros(len(table) - 1, bool)
+            for c in key:
+                column = table.column(c).to_numpy()
+                change |= column[1:] != column[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(change) + 1]).tolist()
+            for a, b in zip(starts[:-1], starts[1:]):
+                yield links(table.slice(a, b - a))
+            held = table.slice(starts[-1])
+        if held is not None:
+            yield links(held)
+
+    joined = rows.join(texts, "node").select(*key, "role", "small", "node", "component", "sketch", "words")
+    return joined.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "leader long, node long")
+
+
 def near_groups(
     docs: DataFrame,
     least: float = SIMILARITY,
     shingle: int = SHINGLE,
     sketches: int = SKETCHES,
     rounds: int = ROUNDS,
+    tile: int = TILE,
 ) -> DataFrame:
     """One row per document: doc_id, class_id, class_size, kept, row_hash.
 
-    Two texts are linked when 1 - word edit distance / words of the longer one is at least ``least``; classes are the connected
-    components of links, named by their smallest doc_id, which stays.  Equal texts are one node (a 64-bit hash of the text)
+    Two texts are linked when they share a sketch and 1 - word edit distance / words of the longer one is at least ``least``;
+    no such link is lost, whatever the bucket's size.  Classes are the connected components of links, named by their smallest doc_id, which stays.  Equal texts are one node (a 64-bit hash of the text)
     and copies are never compared.  ``docs`` needs doc_id and text; other columns are ignored.  A text without words, null
     included, is linked to nothing but its equals (null and empty differ).  A null doc_id is larger than any other; a class
     of such rows has class_id null and keeps them; rows that repeat a doc_id follow their own texts.
@@ -220,11 +339,19 @@ def near_groups(
         found = staged(_verified(pairs, sequences, least))
         links = found if links is None else links.union(found)
         left = staged(led.join(found, ["leader", "node"], "left_anti").select("bucket", "node", "weight"))
-    parts = components(links.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    parts = staged(components(links.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
+    still = _open_links(_open_rows(members, parts, tile), sequences.join(sketched, "node"), least)
+    # what was joined is one node now
+    labels = [parts.select(F.col("node").alias(end), F.col("component").alias(c)) for end, c in (("leader", "a"), ("node", "b"))]
+    still = still.join(labels[0], "leader", "left").join(labels[1], "node", "left")
+    wider = components(still.select(F.coalesce("a", "leader").alias("a"), F.coalesce("b", "node").alias("b")))
+    wider = wider.select(F.col("node").alias("component"), F.col("component").alias("wider"))
     placed = staged(
         rows.select("doc_id", "node")
         .join(parts, "node", "left")
         .select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+        .join(wider, "component", "left")
+        .select("doc_id", "node", F.coalesce("wider", "component").alias("component"))
     )
     classes = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return placed.join(classes, "component").select(
