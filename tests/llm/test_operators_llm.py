@@ -107,6 +107,21 @@ def test_encoder_equals_the_library():
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_added_tokens_equal_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    fresh, encoder, rng = Tokenizer.from_file(PATH), token_codes.Encoder(PATH), random.Random(6)
+    marks = ["<|endoftext|>", "<|endof", "text|>", "<|", "a", "É", " ", "\n", "'s", "日", "|"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(0, 12))) for _ in range(300)] + ["end <|endoftext|>", "x<|endof", "text|> y"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    ids, counts = encoder.encode(data, offsets)
+    want = [e.ids for e in fresh.encode_batch(texts, add_special_tokens=False)]
+    assert any(50256 in w for w in want)
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("name", ["odd_docs", "docs", "no_docs"])
 def test_written_codes(request, spark, tmp_path, name):
     table = request.getfixturevalue(name)

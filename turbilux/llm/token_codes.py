@@ -144,14 +144,14 @@ class Encoder:
 
     Ids of pieces are kept under a 64-bit hash, at most ``max_pieces`` of them.  The ids' bytes are compared with the
     text they stand for, so a hash collision cannot pass; such a block is encoded text by text.
-    Strings of special tokens inside a text are ordinary text.
+    A text that contains the string of an added token (special ones too) goes through the library whole.
     """
 
     def __init__(self, path: str, max_pieces: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self._added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.max_pieces = max_pieces
         with open(path) as f:
             vocabulary = json.load(f)["model"]["vocab"]
@@ -182,8 +182,36 @@ class Encoder:
             out[i] = e.ids
         return out
 
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Which texts contain an added token's string."""
+        found = np.zeros(len(offsets) - 1, bool)
+        for token in self._added:
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, "right")) - 1
+                inside = at + len(token) <= offsets[text + 1]
+                found[text] |= inside
+                # the rest of a text that has one needs no look
+                at = raw.find(token, int(offsets[text + 1]) if inside else at + 1)
+        return found
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
+        raw = data.tobytes()
+        whole = self._with_added(raw, offsets)
+        if not whole.any():
+            return self._by_pieces(data, offsets)
+        sizes, counts = np.diff(offsets), np.zeros(len(whole), np.int64)
+        parts = []
+        for some, way in ((whole, lambda d, o: self._plain(d.tobytes(), o)), (~whole, self._by_pieces)):
+            ids, counts[some] = way(data[np.repeat(some, sizes)], np.concatenate([[0], np.cumsum(sizes[some])]))
+            parts.append(ids)
+        of_whole = np.repeat(whole, counts)
+        out = np.empty(len(of_whole), np.uint32)
+        out[of_whole], out[~of_whole] = parts
+        return out, counts
+
+    def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = cuts(data, offsets)
         ends = np.append(start[1:], len(data))
         unique, where, inverse = np.unique(span_hashes(data, start), return_index=True, return_inverse=True)
