@@ -9,8 +9,8 @@ from turbilux.llm import exact_dedup, length_buckets, order_minhash, phrase_inde
 from turbilux.llm.shipping import ship_package
 from turbilux.llm.storage import staged
 
-# probability of the toxic label from which a document is rejected
-REJECT_FROM = 0.5
+# probability of the toxic label from which a document is rejected: the operator's own decision
+REJECT_FROM = toxic_segments.THRESHOLD
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

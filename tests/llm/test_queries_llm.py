@@ -29,6 +29,14 @@ def test_native(spark, name):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
+def test_pipeline_rejects_what_the_operator_marks(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    marked = {r.doc_id for r in QUERIES["op7_segment_toxicity"](spark, sf).where("predicted = 1").collect()}
+    kept = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, sf).collect()}
+    assert marked and not marked & kept
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
