@@ -330,6 +330,15 @@ def test_cross_parsing_equals_longest_matches():
     assert bits[0, 0] == pytest.approx(phrases * np.log2(len(source)) / len(text))
 
 
+def test_sample_of_copies_and_headings(spark):
+    heading = "the same long heading of every page " * 20
+    rows = [("en", "one text that has many copies")] * 50
+    rows += [("en", heading + f"own words of page number {i} " * 40) for i in range(30)]
+    sample = cross_parsing.training_sample(spark.createDataFrame(rows, "lang string, text string"), docs=31, chars=200)
+    assert len(sample) == len(set(sample)) == 31
+    assert any("own words" in t for _, t in sample)
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     sample = cross_parsing.training_sample(docs.where("crc32(cast(doc_id as string)) % 5 <> 0"))

@@ -29,14 +29,18 @@ _SPACE = 0
 
 
 def training_sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(lang, text) with the first characters of at most ``docs`` documents of each language, chosen by a hash of the text.
+    """(lang, text) with ``chars`` characters of at most ``docs`` different texts of each language.
 
-    ``labelled`` needs lang and text; rows where either is null are left out.
+    Texts, and the place where the characters begin, are chosen by hashes of the whole text, so copies count once and a shared
+    heading is not all that is learnt.  ``labelled`` needs lang and text; rows where either is null are left out.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    room = F.greatest(F.char_length("text") - F.lit(chars) + 1, F.lit(1))
+    begin = (F.pmod(F.xxhash64("text", F.lit(1)), room) + 1).cast("int")
+    order = Window.partitionBy("lang").orderBy("whole", "text")
     chosen = (
         labelled.where("lang is not null and text rlike '[\\\\p{L}]'")
-        .select("lang", F.substring("text", 1, chars).alias("text"))
+        .select("lang", F.xxhash64("text").alias("whole"), F.col("text").substr(begin, F.lit(chars)).alias("text"))
+        .distinct()
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= docs)
     )
