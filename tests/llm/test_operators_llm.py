@@ -517,6 +517,27 @@ def test_licenses(spark, odd_docs, no_docs):
     assert license_digests.scan_licenses(no_docs).count() == 0
 
 
+def test_whole_license_files(spark):
+    known = dict(reversed(license_digests.full_texts()))
+    body = {i: t for i, t in license_digests.KNOWN_TEXTS if "\n" in t}
+    holder = "Copyright (c) 2020 Somebody\n\n"
+    bsd = (license_digests.FOLDER / "BSD-3-Clause.txt").read_text()
+    apache = (license_digests.FOLDER / "Apache-2.0.txt").read_text()
+    rows = [(p.stem, p.read_text()) for p in license_digests.FOLDER.glob("*.txt")]
+    rows += [
+        ("MIT", "MIT License\n\n" + holder + body["MIT"]),
+        ("MIT", "The MIT License (MIT)\n\n# Copyright 2019 Somebody\n" + body["MIT"]),
+        ("ISC", "ISC License\n\n * Copyright 2019 Somebody\n" + body["ISC"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\n" + holder + "All rights reserved.\n\n" + bsd),
+        ("Apache-2.0", apache[: apache.index("   APPENDIX")]),
+        (None, "MIT License\n\n" + body["MIT"] + "\nand more"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in license_digests.scan_licenses(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [i for i, _ in rows]
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(known)
+
+
 # --- 2 -------------------------------------------------------------------------------
 
 

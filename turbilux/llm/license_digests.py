@@ -6,6 +6,8 @@ notices in the same form.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,34 @@ KNOWN_TEXTS = (
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
 )
 
+# whole texts as published, read by the driver: one file for each licence, named by its identifier
+FOLDER = Path(__file__).resolve().parent / "licenses"
+# headings with which a text is often published
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+# where the appendix on how to apply the licence begins; files often end before it
+APPENDIX = (
+    "   APPENDIX: How to apply the Apache License",
+    "            How to Apply These Terms to Your New Programs",
+    "           How to Apply These Terms to Your New Libraries",
+    "Exhibit A - Source Code Form License Notice",
+)
+
+
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """Licence identifiers with whole texts: each alone, under its headings, and without its appendix."""
+    bodies = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(FOLDER.glob("*.txt"))]
+    bodies += [(i, t) for i, t in KNOWN_TEXTS if "\n" in t]
+    bodies += [(i, t[: t.index(a)]) for i, t in bodies for a in APPENDIX if a in t]
+    return tuple(bodies) + tuple((i, f"{title}\n{t}") for i, t in bodies for title in TITLES.get(i, ()))
+
+
 # Spellings that mean the same, applied to lower-case text in this order.
 SPELLINGS = (
     ("licenc", "licens"),
@@ -43,6 +73,8 @@ SPELLINGS = (
 )
 # lines that name a holder or year, not terms
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# the same lines behind the mark of a comment
+COMMENTED_COPYRIGHT_LINE = r"(?mi)^[ \t]*(#+|//+|/?\*+|;+|--+)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 VERSION_MARK = r"\b(version|ver\.|v) ?([0-9])"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 LINE_EDGE = r"(?m)^ | $"
@@ -62,34 +94,47 @@ def one_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, texts=KNOWN_TEXTS) -> DataFrame:
-    """digest, license_id of the known texts: as many rows as the fixed list, whatever the input."""
+def known_digests(spark: SparkSession, texts=None) -> DataFrame:
+    """digest, license_id of the known texts and notices: as many rows as the fixed list, whatever the input."""
+    texts = KNOWN_TEXTS + full_texts() if texts is None else texts
     rows = spark.createDataFrame(list(texts), "license_id string, text string")
     return rows.select(F.sha2(one_line(canonical(F.col("text"))).cast("binary"), 256).alias("digest"), "license_id").distinct()
 
 
-def scan_licenses(docs: DataFrame, texts=KNOWN_TEXTS) -> DataFrame:
+def scan_licenses(docs: DataFrame, texts=None) -> DataFrame:
     """One row per document: doc_id, text_digest, license_id, line_licenses, n_license_lines.
 
-    license_id is the licence that the entire text is (null if none); line_licenses lists, sorted and comma-joined, the licences
+    license_id is the licence that the entire text is (null if none), copyright lines, also commented ones, left out; line_licenses lists, sorted and comma-joined, the licences
     of which a line is the entire text or notice, and n_license_lines counts these lines.  ``docs`` needs doc_id and text; other
     columns are ignored.  A null text counts as empty, an empty text has a digest but no licence; rows that repeat a doc_id with
     the same text give one row each with the same findings.
     """
     known = F.broadcast(known_digests(docs.sparkSession, texts))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), canonical(F.col("text")).alias("lines"))
+    rows = docs.select(
+        "doc_id",
+        F.xxhash64("doc_id", "text").alias("row_key"),
+        canonical(F.col("text")).alias("lines"),
+        # only texts with such lines are brought to canonical form again
+        F.when(
+            F.col("text").rlike(COMMENTED_COPYRIGHT_LINE), canonical(F.regexp_replace("text", COMMENTED_COPYRIGHT_LINE, ""))
+        ).alias("uncommented"),
+    )
     whole = rows.select(
-        "doc_id", "row_key", "lines", F.sha2(one_line(F.col("lines")).cast("binary"), 256).alias("text_digest")
+        "doc_id",
+        "row_key",
+        "lines",
+        F.sha2(one_line(F.col("lines")).cast("binary"), 256).alias("text_digest"),
+        F.sha2(one_line(F.col("uncommented")).cast("binary"), 256).alias("uncommented_digest"),
     )
     lines = F.transform(F.split("lines", "\n"), lambda x: F.sha2(x.cast("binary"), 256))
     units = whole.select(
-        "doc_id", "row_key", "text_digest", F.posexplode(F.concat(F.array("text_digest"), lines)).alias("unit", "digest")
+        "doc_id", "row_key", "text_digest", F.posexplode(F.concat(F.array("text_digest", "uncommented_digest"), lines)).alias("unit", "digest")
     )
     matched = units.join(known, "digest", "left")
-    in_line = F.when(F.col("unit") > 0, F.col("license_id"))
+    in_line = F.when(F.col("unit") > 1, F.col("license_id"))
     found = matched.groupBy("doc_id", "row_key", "text_digest").agg(
         F.sum((F.col("unit") == 0).cast("long")).alias("copies"),
-        F.first(F.when(F.col("unit") == 0, F.col("license_id")), ignorenulls=True).alias("license_id"),
+        F.first(F.when(F.col("unit") <= 1, F.col("license_id")), ignorenulls=True).alias("license_id"),
         F.array_join(F.array_sort(F.collect_set(in_line)), ",").alias("line_licenses"),
         F.count(in_line).alias("lines_of_copies"),
     )
