@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plan_text import plan_of
 from turbilux.operators import cells as C
 from turbilux.operators import extent as X
 from turbilux.operators import joins as J

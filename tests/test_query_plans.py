@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from conftest import plan_of
+from plan_text import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
 # these end in one row, or in a few rows per calendar day or grid cell, by definition

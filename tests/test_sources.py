@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plan_text import plan_of
 from logger_writer import LAYOUTS, write_logger_file
 from turbilux.operators.joins import samples_in_windows
 from turbilux.sources import logger_files as LF
