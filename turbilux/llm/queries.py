@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from turbilux.llm import (
     cross_parsing,
+    dialogue_repair,
     exact_dedup,
+    hard_negatives,
     length_buckets,
     license_digests,
     order_minhash,
+    page_differences,
     perspectives,
     phrase_index,
     substring_dedup,
@@ -211,3 +214,53 @@ _SQL_KNOWN = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in license_d
 )
 def _op5(spark, sf):
     return license_digests.scan_licenses(_table(spark, sf, "documents"))
+
+
+# --- 11: conversation structure ------------------------------------------------------
+
+
+@query("op11_dialogue_repair")
+def _op11(spark, sf):
+    turns = _table(spark, sf, "conversations")
+    return dialogue_repair.repair_report(dialogue_repair.damaged(turns), turns)
+
+
+# --- 12: pages -----------------------------------------------------------------------
+
+# every page of the tables has one article element, without markup of asides in it
+@query(
+    "op12_page_differences",
+    r"""with a as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) x from pages),
+       b as (select page_id, url, i, regexp_replace(block, '<[^>]*>', ' ', 'g') y
+             from (select page_id, url, generate_subscripts(l, 1) i, unnest(l) block
+                   from (select page_id, url, regexp_split_to_array(x, '</?(?:p|h1)>') l from a)) s),
+       c as (select page_id, i, trim(regexp_replace(
+               regexp_replace(regexp_replace(y, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) z from b),
+       d as (select page_id, string_agg(z, chr(10) order by i) t from c where z <> '' group by 1)
+       select page_id, url, coalesce(t, '') "text", length(coalesce(t, '')) n_chars from pages left join d using (page_id)""",
+)
+def _op12(spark, sf):
+    return page_differences.extract_text(_table(spark, sf, "pages"))
+
+
+# --- 13: hard negatives --------------------------------------------------------------
+
+
+@query(
+    "op13_hard_negatives",
+    """with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+                      list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) v
+               from embeddings
+               where label is not null and embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+       s as (select a.vec_id a, b.vec_id b, a.l = b.l same,
+                    cast(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) as bigint) s
+             from e a join e b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+       p as (select * from (select a, b, s, row_number() over (partition by a order by s desc, b) r from s where same) x where r <= 5),
+       n as (select p.a, p.b p, p.s ps, s.b n, s.s ns, row_number() over (partition by p.a, p.b order by s.s desc, s.b) r
+             from p join s on s.a = p.a and not s.same and 30 * p.s <= 100 * s.s and 100 * s.s <= 90 * p.s)
+       select a anchor_id, p positive_id, cast(r as integer) "rank", n negative_id, ps positive_score, ns negative_score
+       from n where r <= 10""",
+)
+def _op13(spark, sf):
+    return hard_negatives.mine(hard_negatives.relabelled(_table(spark, sf, "embeddings")))
