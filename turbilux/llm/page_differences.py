@@ -110,16 +110,16 @@ def _line_hash(line: Line) -> bytes:
     return hashlib.blake2b(line.text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
 
 
-_READ = "page string, host string, path string, hashes array<long>, sizes array<int>"
+_READ = "page binary, host string, path string, hashes array<long>, sizes array<int>"
 _READ_ARROW = pa.schema([
-    ("page", pa.string()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())),
+    ("page", pa.binary()), ("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())),
     ("sizes", pa.list_(pa.int32())),
 ])
 
 
-def _name(host: str, hashes: list[bytes]) -> str:
+def _name(host: str, hashes: list[bytes]) -> bytes:
     """A page's name: its host and its lines, so that copies are one page."""
-    return hashlib.blake2b(host.encode("utf-8", "surrogatepass") + b"\0" + b"".join(hashes), digest_size=16).hexdigest()
+    return hashlib.blake2b(host.encode("utf-8", "surrogatepass") + b"\0" + b"".join(hashes), digest_size=16).digest()
 
 
 def _read(pages: DataFrame) -> DataFrame:
@@ -162,73 +162,88 @@ def site_lines(pages: DataFrame) -> DataFrame:
             if out:
                 names, places = zip(*out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.string()), pa.array(places, pa.list_(pa.int32()))], ["page", "places"]
+                    [pa.array(names, pa.binary()), pa.array(places, pa.list_(pa.int32()))], ["page", "places"]
                 )
 
     pairs = spread.repartition("chunk").sortWithinPartitions("chunk", "position")
-    shared = pairs.mapInArrow(run, "page string, places array<int>")
+    shared = pairs.mapInArrow(run, "page binary, places array<int>")
     # two neighbours at most
     return staged(shared.groupBy("page").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")))
 
 
-def main_lines(lines: list[Line], shared: list[int]) -> list[str]:
-    """Lines of the article: not aside by markup, not shared with a neighbour unless inside the article element.
+def candidates(lines: list[Line]) -> list[tuple[int, Line]]:
+    """Lines that can be of the article, with their places: not aside by markup.
 
     A page with an article element, or else a main element, has its text only there.
     """
-    seen = [line for line in lines if not line.aside]
-    depth = max((line.body for line in seen), default=0)
-    gone = set(shared)
-    return [
-        line.text
-        for i, line in enumerate(lines)
-        if not line.aside and line.body >= min(depth, 1) and (line.body == 2 or i not in gone)
-    ]
+    seen = [(i, line) for i, line in enumerate(lines) if not line.aside]
+    depth = max((line.body for _, line in seen), default=0)
+    return [(i, line) for i, line in seen if line.body >= min(depth, 1)]
 
 
-_TEXT = "page_id long, url string, text string, n_chars long"
-
+def main_lines(lines: list[Line], shared: list[int]) -> list[str]:
+    """The article's lines: candidates that no neighbour shares, or that stand inside the article element."""
+    gone = set(shared)
+    return [line.text for i, line in candidates(lines) if line.body == 2 or i not in gone]
 
-def extract_text(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars (code points).
 
-    ``pages`` needs page_id, url and html; other columns are ignored.  A null html is an empty page, a null or unreadable url
-    has the empty host; such pages are neighbours of each other.  Copies of a page within a host count once when neighbours
-    are sought, and all get the same text; repeated rows come back as often as they are given.  An empty table gives no rows.
-    """
-    shared = site_lines(pages)
+def _packed(pages: DataFrame) -> DataFrame:
+    """page_id, url, page, kept (compressed candidates), free (their numbers and places, where a neighbour can delete them)."""
 
-    def read(batches: Iterator[pa.RecordBatch]):
+    def run(batches: Iterator[pa.RecordBatch]):
+        squeeze = pa.Codec("zstd")
         for batch in batches:
-            out = {"page_id": batch.column("page_id"), "url": batch.column("url")}
-            names, texts = [], []
+            names, kept, free = [], [], []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
                 lines = lines_of(page or "")
                 names.append(_name(place_of(url)[0], [_line_hash(line) for line in lines]))
-                texts.append(
-                    [{"text": line.text, "aside": line.aside, "body": line.body} for line in lines]
-                )
-            kinds = pa.list_(pa.struct([("text", pa.string()), ("aside", pa.bool_()), ("body", pa.int32())]))
+                held = candidates(lines)
+                text = "\n".join(line.text for _, line in held).encode("utf-8", "surrogatepass")
+                kept.append(len(text).to_bytes(8, "little") + squeeze.compress(text, asbytes=True))
+                free.append([x for k, (i, line) in enumerate(held) if line.body < 2 for x in (k, i)])
             yield pa.RecordBatch.from_arrays(
-                [out["page_id"], out["url"], pa.array(names, pa.string()), pa.array(texts, kinds)],
-                ["page_id", "url", "page", "lines"],
+                [
+                    batch.column("page_id"), batch.column("url"), pa.array(names, pa.binary()),
+                    pa.array(kept, pa.binary()), pa.array(free, pa.list_(pa.int32())),
+                ],
+                ["page_id", "url", "page", "kept", "free"],
+            )
+
+    given = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
+    )
+    return given.mapInArrow(run, "page_id long, url string, page binary, kept binary, free array<int>")
+
+
+def _texts(packed: DataFrame) -> DataFrame:
+    """page_id, url, text of packed pages with the ``places`` that a neighbour shares."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        squeeze = pa.Codec("zstd")
+        for batch in batches:
+            texts = []
+            for kept, free, places in zip(*(batch.column(c).to_pylist() for c in ("kept", "free", "places"))):
+                data = squeeze.decompress(kept[8:], int.from_bytes(kept[:8], "little"), asbytes=True)
+                text = data.decode("utf-8", "replace")
+                gone = set(places or ()) & set(free[1::2])
+                if gone:
+                    out = {k for k, i in zip(free[::2], free[1::2]) if i in gone}
+                    text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in out)
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
-    given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    lines = given.mapInArrow(
-        read, "page_id long, url string, page string, lines array<struct<text: string, aside: boolean, body: int>>"
-    )
-    joined = lines.join(shared, "page", "left")
-    return joined.select("page_id", "url", _main_text().alias("text")).withColumn("n_chars", F.length("text").cast("long"))
-
-
-def _main_text():
-    """``main_lines`` joined by line ends, as an expression over ``lines`` and ``places``."""
-    return F.expr(
-        """array_join(transform(filter(
-             transform(lines, (x, i) -> named_struct('x', x, 'gone', coalesce(array_contains(places, i), false))),
-             y -> not y.x.aside
-                  and y.x.body >= if(exists(lines, z -> not z.aside and z.body > 0), 1, 0)
-                  and (y.x.body = 2 or not y.gone)),
-             y -> y.x.text), '\\n')"""
-    )
+    return packed.mapInArrow(run, "page_id long, url string, text string")
+
+
+def extract_text(pages: DataFrame) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars (code points).
+
+    ``pages`` needs page_id, url and html; other columns are ignored.  A null html is an empty page, a null or unreadable url
+    has the empty host; such pages are neighbours of each other.  Copies of a page within a host count once when neighbours
+    are sought, and all get the same text; repeated rows come back as often as they are given.  An empty table gives no rows.
+    """
+    # always a shuffle join: the neighbours' table grows with the pages
+    joined = _packed(pages).join(site_lines(pages).hint("merge"), "page", "left")
+    return _texts(joined).withColumn("n_chars", F.length("text").cast("long"))
