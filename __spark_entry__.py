@@ -19,7 +19,14 @@ from turbilux.functions.times import date_plus_time, parse_date, parse_logger_ti
 from turbilux.operators import cells as C  # noqa: E402
 from turbilux.operators.extent import drop_last_row, file_extent, harmonise_extent  # noqa: E402
 from turbilux.operators.joins import join_coordinates, samples_in_windows  # noqa: E402
-from turbilux.operators.pairing import mean_attenuation, mean_intensity, pair_loggers, pair_samples, pairing_report  # noqa: E402
+from turbilux.operators.pairing import (  # noqa: E402
+    mean_attenuation,
+    mean_attenuation_of_samples,
+    mean_intensity,
+    pair_loggers,
+    pair_samples,
+    pairing_report,
+)
 from turbilux.operators.reshape import bind_rows, pivot_loggers, split_on_borders, unpivot_loggers  # noqa: E402
 from turbilux.operators.rolling import blocked_rolling_mean  # noqa: E402
 from turbilux.operators.rows import (  # noqa: E402
@@ -32,23 +39,26 @@ from turbilux.operators.rows import (  # noqa: E402
     exclude_dates,
     exclude_flagged,
     exclude_matching,
+    input_order,
     require_present,
     unique_dates,
 )
 from turbilux.plans.legacy import legacy_pole_heatmap, paired_window_means  # noqa: E402
 from turbilux.plans.pole_trials import planned_trials, pole_trials, sample_extents, usable_deployments  # noqa: E402
 from turbilux.plans.site_tables import (  # noqa: E402
+    HEATMAPS,
+    all_heatmaps,
     cell_attenuation,
     coordinates,
     disturbance_segments,
     grid_with,
     gridded_poles,
-    heatmap,
+    heatmaps,
     pole_map,
 )
 from turbilux.plans.trial_series import trial_series  # noqa: E402
 from turbilux.site import LEGACY_BORDER_SHIFT, LEGACY_BORDER_WIDTH  # noqa: E402
-from turbilux.sources.logger_files import parse_samples  # noqa: E402
+from turbilux.sources.logger_files import audit_lines, parse_samples  # noqa: E402
 from turbilux.sources.metadata import clean_metadata  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +139,43 @@ def _pairing_repeated(spark, sf):
     return pair_loggers(top, bottom, keys=["slot_ts"], within=["pole_id"])
 
 
+@query(
+    "mean_attenuation_repeated",
+    f"""with r as (select user_id // 2 pole_id, user_id % 2 side, date_trunc('hour', ts) slot_ts, floor(value / 20) light from events)
+       select cast(a.pole_id as bigint) pole_id, cast(a.slot_ts as date) date,
+              case when bool_or(a.light = 0 and b.light > 0) then '-infinity'::double
+                   else {r6('avg(case when a.light > 0 then 100 * (a.light - b.light) / a.light end)')} end light_attenuation_mean
+       from r a join r b on a.pole_id = b.pole_id and a.slot_ts = b.slot_ts and a.side = 0 and b.side = 1
+       group by 1, 2""",
+)
+def _mean_attenuation_repeated(spark, sf):
+    """Every event a sample: times repeat within a logger, and all combinations count without being made."""
+    return rounded(mean_attenuation_of_samples(_repeated_samples(spark, sf), ["pole_id", "date"], ["slot_ts"], "intensity"))
+
+
+@query(
+    "mean_attenuation_repeated_skip",
+    f"""with r as (select user_id // 2 pole_id, user_id % 2 side, date_trunc('hour', ts) slot_ts, floor(value / 20) light from events)
+       select cast(a.pole_id as bigint) pole_id, cast(a.slot_ts as date) date,
+              {r6('avg(100 * (a.light - b.light) / nullif(a.light, 0))')} light_attenuation_mean
+       from r a join r b on a.pole_id = b.pole_id and a.slot_ts = b.slot_ts and a.side = 0 and b.side = 1
+       group by 1, 2""",
+)
+def _mean_attenuation_repeated_skip(spark, sf):
+    samples = _repeated_samples(spark, sf)
+    return rounded(mean_attenuation_of_samples(samples, ["pole_id", "date"], ["slot_ts"], "intensity", zero_light="skip"))
+
+
+def _repeated_samples(spark, sf):
+    return V.table(spark, sf, "events").select(
+        F.floor(F.col("user_id") / 2).alias("pole_id"),
+        (F.col("user_id") % 2 + 1).alias("logger_number"),
+        F.to_date("ts").alias("date"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot_ts"),
+        F.floor(F.col("value") / 20).alias("intensity"),
+    )
+
+
 @query(
     "mean_intensity",
     f"""select d.date, d.disturbance_number, r.pole_id, r.logger_number, {r6('avg(r.intensity)')} mean_intensity
@@ -210,20 +257,19 @@ def _legacy_heatmap_one(spark, sf):
 
 @query(
     "legacy_heatmap_per_disturbance",
-    f"""select p.pole_id, p.start_time, k.date, k.disturbance_number,
+    f"""select p.pole_id, p.start_time, cast(p.start_time as date) date, k.disturbance_number,
               {r6('p.i1')} logger_1_intensity, {r6('p.i2')} logger_2_intensity,
               {r6('100 * (p.i2 - p.i1) / nullif(p.i1, 0)')} light_attenuation,
               {r6('k.coord_x')} coord_x, {r6('k.coord_y')} coord_y, {r6('-k.coord_x')} map_x
        from v_legacy_pairs p
-       join (select a.date, a.disturbance_number, a.pole_id, c.coord_x, c.coord_y from v_att a join v_xy c on a.pole_id = c.pole_id) k
+       left join (select a.date, a.disturbance_number, a.pole_id, c.coord_x, c.coord_y from v_att a join v_xy c on a.pole_id = c.pole_id) k
          on k.pole_id = p.pole_id and k.date = cast(p.start_time as date)""",
 )
 def _legacy_heatmap_fan_out(spark, sf):
-    """A pole is listed once for each disturbance of a day: every pair meets all of them."""
+    """A pole is listed once for each disturbance of a day: every pair meets all of them; pairs not listed stay."""
     listed = V.attenuation(spark, sf).select("date", "disturbance_number", "pole_id").join(_xy(spark, sf), "pole_id")
     paired = _window_means(spark, sf)
-    joined = legacy_pole_heatmap(paired, listed, on=["pole_id", "date"], zero_light="skip")
-    return rounded(require_present(joined, "disturbance_number"))
+    return rounded(legacy_pole_heatmap(paired, listed, on=["pole_id", "date"], zero_light="skip"))
 
 
 # --- files ---------------------------------------------------------------------------
@@ -258,6 +304,25 @@ def _file_extent_whole(spark, sf):
     return file_extent(V.table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "ts", drop_last=False)
 
 
+@query(
+    "file_extent_partial_sensors",
+    """with s as (select user_id, event_id, ts, user_id % 3 <> 0 and event_id % 7 <> 0 and value is not null t,
+                         user_id % 4 <> 0 and event_id % 5 <> 0 and value is not null l
+                  from events where event_type <> 'error'),
+       f as (select *, bool_or(t) over (partition by user_id) ft, bool_or(l) over (partition by user_id) fl from s),
+       k as (select *, row_number() over (partition by user_id order by event_id desc) rn from f
+             where (t or not ft) and (l or not fl))
+       select 'logs/' || user_id file_path, min(case when rn > 1 then ts end) first_date_time, max(case when rn = 2 then ts end) last_date_time,
+              (epoch_us(max(case when rn = 2 then ts end)) - epoch_us(min(case when rn > 1 then ts end))) / 1e6 / nullif(count(*) - 2, 0)
+                measurement_interval
+       from (select user_id, rn, case when event_id = min(event_id) over (partition by user_id) or rn = 2 then ts end ts from k) x
+       group by user_id""",
+)
+def _file_extent_partial(spark, sf):
+    """Files that lack a sensor, and rows that lack a value."""
+    return sample_extents(V.partial_samples(spark, sf))
+
+
 @query("drop_last_row", f"select event_id, user_id, ts, value from {KEPT_ROWS} k")
 def _drop_last_row(spark, sf):
     events = V.table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
@@ -315,6 +380,20 @@ def _logger_ingest_usual(spark, sf):
     return rounded(parse_samples(V.log_lines(spark, sf), places="usual").drop("gmt_offset"))
 
 
+@query(
+    "logger_audit",
+    """select 'logs/' || user_id || '_export.csv' file_path, 2 + count(*) + count(*) filter (event_id % 10 < 3) as lines,
+              cast(1 as bigint) titles, cast(1 as bigint) headers,
+              count(*) filter (event_type <> 'error') + count(*) filter (event_id % 10 = 2) as samples,
+              count(*) filter (event_type = 'error') as events, count(*) filter (event_id % 10 = 1) as blank,
+              count(*) filter (event_id % 10 = 0) as unread, count(*) filter (event_id % 10 = 2) as bad_times
+       from events group by user_id""",
+)
+def _logger_audit(spark, sf):
+    """What became of every line: broken ones are counted per file."""
+    return audit_lines(V.broken_log_lines(spark, sf))
+
+
 # --- times ---------------------------------------------------------------------------
 
 
@@ -410,19 +489,18 @@ def _pole_trials(spark, sf):
     return rounded(trials.drop("lightlogger_file_path_3", "lightlogger_file_name_3", "notes_3"))
 
 
-@query(
-    "trial_series",
-    f"""with p as (
+def series_sql(samples: str = "v_file_samples", order: str = '"number"', first: str = "") -> str:
+    return f"""with {first} p as (
          select t.date, t.point_name, t.disturbance_number, a."number", a.date_time,
                 a.temp_f t1, b.temp_f t2, a.intensity_lum_ft2 i1, b.intensity_lum_ft2 i2
          from v_pole_trials t
-         join v_file_samples a on a.file_path = t.path_1
-         join v_file_samples b on b.file_path = t.path_2 and a."number" = b."number" and a.date_time = b.date_time
+         join {samples} a on a.file_path = t.path_1
+         join {samples} b on b.file_path = t.path_2 and a."number" = b."number" and a.date_time = b.date_time
          where a.date_time >= t.start_time - interval '20' minute and a.date_time < t.end_time + interval '20' minute),
        w as (
          select *, case when count(i1) over f = 2 then avg(i1) over f end r1,
                    case when count(i2) over f = 2 then avg(i2) over f end r2
-         from p window f as (partition by date, point_name, disturbance_number order by "number"
+         from p window f as (partition by date, point_name, disturbance_number order by {order}
                              rows between current row and 1 following)),
        l as (
          select *, 100 * (i1 - i2) / nullif(i1, 0) pct, 100 * (r1 - r2) / nullif(r1, 0) roll_pct from w),
@@ -434,12 +512,65 @@ def _pole_trials(spark, sf):
               {r6('pct')} light_attenuation_pct, {r6('roll_pct')} light_attenuation_rollmean_pct,
               {r6('pct * 100')} attenuation_on_axis, {r6('roll_pct * 100')} attenuation_rollmean_on_axis,
               cast(date as varchar) || ', Pole ' || point_name || ', Disturbance ' || disturbance_number title
-       from u""",
+       from u"""
+
+
+# a third of the samples comes twice, with other values
+REPEATED = """rep as (select * from v_file_samples union all
+       select file_path, date_time, "number", temp_f + 1, intensity_lum_ft2 * 1.5 + 1, is_event from v_file_samples where "number" % 3 = 0)"""
+
+
+def _repeated_file_samples(samples):
+    more = samples.filter(F.col("number") % 3 == 0).withColumns(
+        {"temp_f": F.col("temp_f") + 1, "intensity_lum_ft2": F.col("intensity_lum_ft2") * 1.5 + 1}
+    )
+    return samples.unionByName(more)
+
+
+@query(
+    "pole_trials_repeated",
+    f"""with {REPEATED},
+       m as (select p.date, p.point_name, t.disturbance_number,
+                    avg(100 * (a.intensity_lum_ft2 - b.intensity_lum_ft2) / nullif(a.intensity_lum_ft2, 0)) mean
+             from v_pole_days p join v_disturbances t on t.date = p.date
+             join rep a on a.file_path = p.path_1
+             join rep b on b.file_path = p.path_2 and a."number" = b."number" and a.date_time = b.date_time
+             where a.date_time >= t.start_time and a.date_time < t.end_time
+             group by 1, 2, 3)
+       select date, point_name, disturbance_number, {r6('measurement_interval')} measurement_interval, {r6('mean')} light_attenuation_mean
+       from v_pole_trials left join m using (date, point_name, disturbance_number)""",
 )
+def _pole_trials_repeated(spark, sf):
+    """Samples that repeat within a logger: every combination counts, as in a natural join."""
+    deployments, samples, disturbances = _study_inputs(spark, sf)
+    trials = pole_trials(
+        usable_deployments(deployments),
+        _repeated_file_samples(samples),
+        disturbances,
+        V.problem_sheet(spark, sf),
+        extents=sample_extents(samples),
+        excluded_dates=EXCLUDED_DAYS,
+        zero_light="skip",
+    )
+    return rounded(trials.select("date", "point_name", "disturbance_number", "measurement_interval", "light_attenuation_mean"))
+
+
+@query(
+    "trial_series_repeated",
+    series_sql("rep", '"number", i1, i2, t1, t2', REPEATED + ","),
+)
+def _trial_series_repeated(spark, sf):
+    deployments, samples, disturbances = _study_inputs(spark, sf)
+    usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
+    trials = planned_trials(usable, sample_extents(samples), disturbances)
+    return rounded(trial_series(trials, _repeated_file_samples(samples), window_width=2, zero_light="skip"))
+
+
+@query("trial_series", series_sql())
 def _trial_series(spark, sf):
     deployments, samples, disturbances = _study_inputs(spark, sf)
     usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
-    trials = planned_trials(usable, sample_extents(samples, usable), disturbances)
+    trials = planned_trials(usable, sample_extents(samples), disturbances)
     return rounded(trial_series(trials, samples, window_width=2, zero_light="skip"))
 
 
@@ -484,7 +615,7 @@ def _trial_series_own_width(spark, sf):
     """Each trial's own window (two to four samples), over light in coarse steps: zero light follows IEEE."""
     deployments, samples, disturbances = _study_inputs(spark, sf)
     usable = exclude_dates(usable_deployments(deployments), EXCLUDED_DAYS)
-    trials = planned_trials(usable, sample_extents(samples, usable), disturbances).withColumn(
+    trials = planned_trials(usable, sample_extents(samples), disturbances).withColumn(
         "sliding_window_width", rolling_width(300 / F.col("disturbance_number"))
     )
     coarse = samples.withColumn("intensity_lum_ft2", F.floor(F.col("intensity_lum_ft2") / 20).cast("double"))
@@ -517,6 +648,32 @@ def _rolling_mean(spark, sf):
     )
 
 
+# nine digits of a number of any size
+MANTISSA = "round({0} / power(10.0, floor(log10({0}))), 9) + 0.0"
+
+
+@query(
+    "rolling_mean_wide_range",
+    f"""select user_id, event_id, floor(log10(rolled)) exponent, {MANTISSA.format("rolled")} mantissa
+       from (select user_id, event_id, nullif(case when count(wide) over f = 4 then avg(wide) over f end, 0) / pi() rolled
+             from (select user_id, event_id, abs(value) * power(10.0, (event_id % 5) * 4 - 8) wide from events) e
+             window f as (partition by user_id order by event_id rows between 1 preceding and 2 following)) r""",
+)
+def _rolling_mean_wide_range(spark, sf):
+    """Values of widely different size: a large one must leave no trace in the windows after it."""
+    events = V.table(spark, sf, "events").select(
+        "user_id", "event_id", (F.abs("value") * F.pow(F.lit(10.0), (F.col("event_id") % 5) * 4 - 8)).alias("wide")
+    )
+    rolled = blocked_rolling_mean(
+        events, ["wide"], 4, by=["user_id"], order=["event_id"], chunk=F.floor(F.col("event_id") / 1000), block_rows=64
+    )
+    # no ties among the digits
+    mean = F.nullif("wide_rollmean", F.lit(0.0)) / F.pi()
+    exponent = F.floor(F.log10(mean)).cast("double")
+    mantissa = F.round(mean / F.pow(F.lit(10.0), exponent), 9) + F.lit(0.0)
+    return rolled.select("user_id", "event_id", exponent.alias("exponent"), mantissa.alias("mantissa"))
+
+
 @query(
     "pivot_poles",
     f"""select pole_id, slot_ts,
@@ -646,8 +803,7 @@ def _cells(spark, sf, filtered=False, min_mean=0.0):
 
 
 def cell_sql(cells: str) -> str:
-    return f"""select date, disturbance_number, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
-       {r6('sd_light_attenuation')} sd_light_attenuation, n, {r6('sum_light_attenuation')} sum_light_attenuation from {cells}"""
+    return f"""select date, disturbance_number, track, zone, mean_light_attenuation, sd_light_attenuation, n, sum_light_attenuation from {cells}"""
 
 
 def per_day_sql(cells: str, n: str = "count(*)") -> str:
@@ -657,62 +813,79 @@ def per_day_sql(cells: str, n: str = "count(*)") -> str:
 
 
 def day_mean_sql(cells: str) -> str:
-    return f"""select date, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
-       {r6('sd_light_attenuation')} sd_light_attenuation, n from {per_day_sql(cells)}"""
+    return f"select date, track, zone, mean_light_attenuation, sd_light_attenuation, n from {per_day_sql(cells)}"
 
 
 def day_sum_sql(cells: str) -> str:
-    return f"""select date, track, zone, {r6('mean_light_attenuation')} mean_light_attenuation,
-       {r6('sd_light_attenuation')} sd_light_attenuation, n, {r6('sum_light_attenuation')} sum_light_attenuation
+    return f"""select date, track, zone, mean_light_attenuation, sd_light_attenuation, n, sum_light_attenuation
        from {per_day_sql(cells, 'cast(sum(n) as bigint)')}"""
 
 
 def experiment_sql(cells: str) -> str:
-    return f"""select track, zone, {r6('avg(mean_light_attenuation)')} mean_light_attenuation,
-       {r6('stddev_samp(sd_light_attenuation)')} sd_light_attenuation from {per_day_sql(cells)} group by 1, 2"""
+    return f"""select track, zone, avg(mean_light_attenuation) mean_light_attenuation,
+       stddev_samp(sd_light_attenuation) sd_light_attenuation from {per_day_sql(cells)} group by 1, 2"""
+
+
+MEAN, SD, SUM = "mean_light_attenuation", "sd_light_attenuation", "sum_light_attenuation"
 
 
-def heatmap_sql(inner: str, fill: str, label: str) -> str:
-    return f"""select t.*, t.{fill} fill, round_even(cast(t.{label} as double), 0) + 0.0 as label,
+def rounded_sql(inner: str, doubles: tuple[str, ...]) -> str:
+    return f"select t.* replace ({', '.join(f'{r6(c)} as {c}' for c in doubles)}) from ({inner}) t"
+
+
+def heatmap_sql(inner: str, doubles: tuple[str, ...], fill: str, label: str) -> str:
+    """Rounding comes last: fill and label are made from full values."""
+    return f"""select t.* replace ({', '.join(f'{r6(c)} as {c}' for c in doubles)}), {r6(fill)} fill,
+       round_even(cast({label} as double), 0) + 0.0 as label,
        {track_level('track')} - 0.5 xmin, {track_level('track')} + 0.5 xmax,
        {zone_level('zone')} - 0.5 ymin, {zone_level('zone')} + 0.5 ymax
        from ({inner}) t"""
 
 
-# roll-up -> (Spark, SQL, heatmaps of it: name -> fill and label)
+# roll-up -> (Spark, SQL, its doubles, its heatmaps)
 ROLLUPS = {
-    "cell_stats": (
-        lambda cells: cells,
-        cell_sql,
-        {"cell_mean": ("mean_light_attenuation", "mean_light_attenuation"), "cell_sum": ("sum_light_attenuation", "n")},
-    ),
-    "day_mean": (C.day_mean, day_mean_sql, {"day_mean": ("mean_light_attenuation", "mean_light_attenuation")}),
-    "day_sum": (C.day_sum, day_sum_sql, {"day_sum": ("sum_light_attenuation", "n")}),
-    "experiment_mean": (
-        C.experiment_mean,
-        experiment_sql,
-        {"experiment_mean": ("mean_light_attenuation", "mean_light_attenuation")},
-    ),
+    "cell_stats": (lambda cells: cells, cell_sql, (MEAN, SD, SUM), ("cell_mean", "cell_sum")),
+    "day_mean": (C.day_mean, day_mean_sql, (MEAN, SD), ("day_mean",)),
+    "day_sum": (C.day_sum, day_sum_sql, (MEAN, SD, SUM), ("day_sum",)),
+    "experiment_mean": (C.experiment_mean, experiment_sql, (MEAN, SD), ("experiment_mean",)),
 }
 
 
-def _register_rollups() -> None:
-    for name, (roll, sql, drawn) in ROLLUPS.items():
+def _register_rollups() -> list[str]:
+    drawn = []
+    for name, (roll, sql, doubles, drawings) in ROLLUPS.items():
         for filtered in (False, True):
             if name == "experiment_mean" and filtered:
                 continue
             suffix = "_filtered" if filtered else ""
             inner = sql("v_cells" + suffix)
-            rollup = query(name + suffix, inner)(
+            query(name + suffix, rounded_sql(inner, doubles))(
                 lambda spark, sf, roll=roll, filtered=filtered: rounded(roll(_cells(spark, sf, filtered)))
             )
-            for drawing, (fill, label) in drawn.items():
-                query(f"heatmap_{drawing}{suffix}", heatmap_sql(inner, fill, label))(
-                    lambda spark, sf, rollup=rollup, fill=fill, label=label: heatmap(rollup(spark, sf), fill, label)
+            for drawing in drawings:
+                _, fill, label = HEATMAPS[drawing]
+                tiles = heatmap_sql(inner, doubles, fill, label)
+                query(f"heatmap_{drawing}{suffix}", tiles)(
+                    lambda spark, sf, drawing=drawing, filtered=filtered: rounded(
+                        heatmaps(_cells(spark, sf, filtered))[drawing]
+                    )
+                )
+                keys = "date, disturbance_number" if name == "cell_stats" else "date, null" if name != "experiment_mean" else "null, null"
+                drawn.append(
+                    f"select '{drawing}' drawing, {str(filtered).lower()} filtered, {keys}, track, zone, fill, label, xmin, xmax, ymin, ymax from ({tiles})"
                 )
+    return drawn
 
 
-_register_rollups()
+@query(
+    "heatmaps_all",
+    "select * from (select '' drawing, false filtered, cast(null as date) date, cast(null as integer) disturbance_number, '' track, "
+    "'' zone, 0.0::double fill, 0.0::double label, 0.0::double xmin, 0.0::double xmax, 0.0::double ymin, 0.0::double ymax where false "
+    "union all " + " union all ".join(_register_rollups()) + ") t",
+)
+def _heatmaps_all(spark, sf):
+    """All nine heatmap tables in one job."""
+    return rounded(all_heatmaps(V.attenuation_with_problems(spark, sf), _xy(spark, sf), on=["pole_id"]))
 
 
 @query(
@@ -798,7 +971,7 @@ def _coordinates_by_trial(spark, sf):
         from (select track, zone, {track_level('track')} - 0.5 xmin, {track_level('track')} + 0.5 xmax,
                      {zone_level('zone')} - 0.5 ymin, {zone_level('zone')} + 0.5 ymax
               from (values ('1'), ('2'), ('3')) t(track) cross join (values ('A'), ('B'), ('C')) z(zone)) g
-        left join ({experiment_sql("v_cells")}) e on e.track = g.track and e.zone = g.zone""",
+        left join ({rounded_sql(experiment_sql("v_cells"), (MEAN, SD))}) e on e.track = g.track and e.zone = g.zone""",
 )
 def _grid_tiles(spark, sf):
     return grid_with(QUERIES["experiment_mean"](spark, sf))
@@ -854,6 +1027,18 @@ def _unique_dates(spark, sf):
     return unique_dates(V.attenuation(spark, sf))
 
 
+@query(
+    "dates_by_appearance",
+    """select date, cast(row_number() over (order by place) as integer) date_rank
+       from (select l_shipdate date, min(place) place from (select l_shipdate, row_number() over () place from lineitem) l
+             where l_shipdate is not null group by 1) d""",
+)
+def _dates_by_appearance(spark, sf):
+    """The nth date as it turns up in the rows of the table, not in the calendar."""
+    placed = input_order(V.table(spark, sf, "lineitem")).withColumnRenamed("l_shipdate", "date")
+    return unique_dates(placed, "date", ["input_file", "input_row"])
+
+
 # --- contract ------------------------------------------------------------------------
 
 

@@ -232,3 +232,30 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(files.select(path, heads.alias("value")))
         .unionByName(events.select(path, line.alias("value")))
     )
+
+
+def broken_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``log_lines`` with lines no logger file should have: remarks, blank lines and times that are none."""
+    number = F.col("event_id").cast("string")
+    broken = (
+        F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("battery low at "), number))
+        .when(F.col("event_id") % 10 == 1, F.lit("   "))
+        .when(F.col("event_id") % 10 == 2, F.concat(number, F.lit(",13/40/22 10:00:00 AM,70.1,1.0,,")))
+    )
+    path = F.concat(F.lit("logs/"), F.col("user_id").cast("string"), F.lit("_export.csv")).alias("file_path")
+    more = table(spark, sf_dir, "events").filter(F.col("event_id") % 10 < 3).select(path, broken.alias("value"))
+    return log_lines(spark, sf_dir).unionByName(more)
+
+
+def partial_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as single samples of one file per user, where some files lack a sensor and some rows a value."""
+    events = table(spark, sf_dir, "events")
+    user, event = F.col("user_id"), F.col("event_id")
+    return events.select(
+        F.concat(F.lit("logs/"), user.cast("string")).alias("file_path"),
+        event.cast("int").alias("number"),
+        F.col("ts").alias("date_time"),
+        F.when((user % 3 != 0) & (event % 7 != 0), F.col("value")).alias("temp_f"),
+        F.when((user % 4 != 0) & (event % 5 != 0), F.col("value") + 1).alias("intensity_lum_ft2"),
+        (F.col("event_type") == "error").alias("is_event"),
+    )

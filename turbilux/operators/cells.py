@@ -16,10 +16,14 @@ DAY = ("date", "track", "zone")
 PLACE = ("track", "zone")
 
 
-def _mean(c: str):
+def mean_of(c: str):
     return nan_to_null(F.avg(nan_to_null(c)))
 
 
+def sum_of(c: str):
+    return nan_to_null(F.sum(nan_to_null(c)))
+
+
 def _sd(c: str):
     return nan_to_null(F.stddev_samp(nan_to_null(c)))
 
@@ -37,10 +41,10 @@ def cell_stats(
 ) -> DataFrame:
     """Mean, sample sd, rows and sum per cell; cells below ``min_mean`` go (None keeps all)."""
     stats = poles.groupBy(*by).agg(
-        _mean(value).alias("mean_light_attenuation"),
+        mean_of(value).alias("mean_light_attenuation"),
         _sd(value).alias("sd_light_attenuation"),
         F.count(F.lit(1)).alias("n"),
-        nan_to_null(F.sum(nan_to_null(value))).alias("sum_light_attenuation"),
+        sum_of(value).alias("sum_light_attenuation"),
     )
     return stats if min_mean is None else stats.filter(F.col("mean_light_attenuation") >= min_mean)
 
@@ -48,7 +52,7 @@ def cell_stats(
 def day_mean(cells: DataFrame) -> DataFrame:
     """Mean of cell means, sd of cell sds, ``n`` = number of cells."""
     return cells.groupBy(*DAY).agg(
-        _mean("mean_light_attenuation").alias("mean_light_attenuation"),
+        mean_of("mean_light_attenuation").alias("mean_light_attenuation"),
         _sd("sd_light_attenuation").alias("sd_light_attenuation"),
         F.count(F.lit(1)).alias("n"),
     )
@@ -57,10 +61,10 @@ def day_mean(cells: DataFrame) -> DataFrame:
 def day_sum(cells: DataFrame) -> DataFrame:
     """As ``day_mean``, but ``n`` and the sums add up over the cells."""
     return cells.groupBy(*DAY).agg(
-        _mean("mean_light_attenuation").alias("mean_light_attenuation"),
+        mean_of("mean_light_attenuation").alias("mean_light_attenuation"),
         _sd("sd_light_attenuation").alias("sd_light_attenuation"),
         F.sum("n").alias("n"),
-        nan_to_null(F.sum(nan_to_null("sum_light_attenuation"))).alias("sum_light_attenuation"),
+        sum_of("sum_light_attenuation").alias("sum_light_attenuation"),
     )
 
 
@@ -70,7 +74,7 @@ def experiment_mean(cells: DataFrame) -> DataFrame:
         day_mean(cells)
         .groupBy(*PLACE)
         .agg(
-            _mean("mean_light_attenuation").alias("mean_light_attenuation"),
+            mean_of("mean_light_attenuation").alias("mean_light_attenuation"),
             _sd("sd_light_attenuation").alias("sd_light_attenuation"),
         )
     )
@@ -78,7 +82,7 @@ def experiment_mean(cells: DataFrame) -> DataFrame:
 
 def replicate_mean(trials: DataFrame, by: Sequence[str] = ("point_name", "date", "disturbance_number")) -> DataFrame:
     """Mean over repeated trial rows of a pole."""
-    return trials.groupBy(*by).agg(_mean("light_attenuation_mean").alias("light_attenuation_mean"))
+    return trials.groupBy(*by).agg(mean_of("light_attenuation_mean").alias("light_attenuation_mean"))
 
 
 def global_range(trials: DataFrame, value: str = "light_attenuation_mean") -> DataFrame:

@@ -9,13 +9,36 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turbilux.functions.missing import present_number
 from turbilux.functions.times import seconds_between
 from turbilux.operators.joins import lookup_join
 
 
-def _position(order: Sequence[str]) -> Column:
-    """What orders a file's rows; one plain column keeps the aggregation hash-based."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+# ordinals of a file that form one mergeable state, and the bits of a place among them
+CHUNK_ROWS = 64
+_BITS = 6
+
+
+def _whole_number(df: DataFrame, name: str) -> Column | None:
+    """A column as decimal(20,0) in the same order, if it has such a form."""
+    kind = dict(df.dtypes)[name]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(name).cast("decimal(20,0)")
+    if kind in ("timestamp_ntz", "timestamp"):
+        seconds = (F.col(name) - F.lit("1970-01-01").cast(kind)).cast("decimal(18,6)")
+        return (seconds * F.lit(1_000_000)).cast("decimal(20,0)")
+    return None
+
+
+def _position(df: DataFrame, order: Sequence[str]) -> Column:
+    """What orders a file's rows.  One plain column, or two packed into one number, keep the aggregation hash-based."""
+    if len(order) == 1:
+        return F.col(order[0])
+    parts = [_whole_number(df, c) for c in order]
+    if len(parts) > 2 or any(p is None for p in parts):
+        return F.struct(*order)
+    # the second is any 64-bit number
+    return parts[0] * F.lit(str(2**64)).cast("decimal(20,0)") + parts[1]
 
 
 def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -25,11 +48,94 @@ def drop_last_row(df: DataFrame, file: Sequence[str], order: Sequence[str]) -> D
     and a file of any size stays split over many tasks.
     """
     file = list(file)
-    position = _position(order)
+    position = _position(df, order)
     last = df.groupBy(*file).agg(F.max(position).alias("_last"))
     return lookup_join(df, last, file).filter(position < F.col("_last")).drop("_last")
 
 
+def recorded_extent(
+    samples: DataFrame,
+    sensors: Sequence[str],
+    file: str = "file_path",
+    number: str = "number",
+    ts: str = "date_time",
+) -> DataFrame:
+    """``file_extent`` (last row dropped) over the rows on which every sensor that a file recorded has a value.
+
+    A sensor without a single value in a file is left out of that file.  Which ones those are is known only at the end, so
+    the state of a file holds count, first and last two rows for each combination of sensors; a row has one combination, and
+    the wanted one is that of all sensors the file recorded.  The states are pre-aggregated over runs of ``CHUNK_ROWS``
+    ordinals (unique within the file) and merged per file: the samples are scanned once and only states are shuffled.
+    """
+    held = [F.when(present_number(c), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(sensors)]
+    place = (F.col(number) % CHUNK_ROWS + CHUNK_ROWS) % CHUNK_ROWS
+    known = F.col(number).isNotNull() & F.col(ts).isNotNull()
+    rows = samples.filter(F.col(file).isNotNull()).select(
+        file,
+        number,
+        ts,
+        reduce(lambda a, b: a.bitwiseOR(b), held).alias("_held"),
+        F.when(known, F.floor(F.col(number) / CHUNK_ROWS)).alias("_chunk"),
+        F.when(known, place.cast("int")).alias("_place"),
+    )
+
+    def bit(c: Column, i: int) -> Column:
+        return F.shiftright(c, i).bitwiseAND(F.lit(1))
+
+    # last row of those whose place has the bit set or not: the last but one is the last of some such half
+    halves = {
+        f"_half_{i}_{v}": F.max_by(ts, F.when(bit(F.col("_place"), i) == v, F.col(number)))
+        for i in range(_BITS)
+        for v in (0, 1)
+    }
+    states = rows.groupBy(file, "_held", "_chunk").agg(
+        F.count("_place").alias("_n"),
+        F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_places"),
+        F.max("_place").alias("_top"),
+        F.min_by(ts, F.when(known, F.col(number))).alias("_first"),
+        F.max_by(ts, F.when(known, F.col(number))).alias("_last"),
+        *(half.alias(name) for name, half in halves.items()),
+    )
+    others = F.expr("_places ^ shiftleft(1L, _top)")
+    second = F.length(F.bin(others)) - 1
+    before = F.lit(None)
+    for i in range(_BITS):
+        found = F.when(bit(second, i) == 1, F.col(f"_half_{i}_1")).otherwise(F.col(f"_half_{i}_0"))
+        before = F.when(bit(second, i) != bit(F.col("_top"), i), found).otherwise(before)
+    states = states.select(
+        file, "_held", "_chunk", "_n", "_first", "_last", F.when(others != 0, before).alias("_before")
+    )
+    # a chunk of one row is preceded by the last row of the chunk before
+    order = Window.partitionBy(file).orderBy("_held", "_chunk")
+    earlier = F.lag(F.struct("_held", "_last")).over(order)
+    states = states.withColumn("_earlier", earlier).withColumn(
+        "_before",
+        F.coalesce("_before", F.when(F.col("_earlier._held") == F.col("_held"), F.col("_earlier._last"))),
+    )
+    combinations = range(1 << len(sensors))
+    aggregates = [F.bit_or("_held").alias("_recorded")]
+    for c in combinations:
+        at = F.when(F.col("_held") == c, F.col("_chunk"))
+        aggregates += [
+            F.sum(F.when(F.col("_held") == c, F.col("_n"))).alias(f"_n_{c}"),
+            F.min_by("_first", at).alias(f"_first_{c}"),
+            F.max_by("_before", at).alias(f"_before_{c}"),
+        ]
+    merged = states.groupBy(file).agg(*aggregates)
+
+    def wanted(name: str) -> Column:
+        return F.coalesce(*(F.when(F.col("_recorded") == c, F.col(f"_{name}_{c}")) for c in combinations))
+
+    chosen = merged.select(file, wanted("n").alias("_n"), wanted("first").alias("_first"), wanted("before").alias("_before"))
+    interval = F.try_divide(seconds_between("_first", "_before"), F.col("_n") - 2)
+    return chosen.filter(F.col("_n") > 0).select(
+        file,
+        F.when(F.col("_n") > 1, F.col("_first")).alias("first_date_time"),
+        F.col("_before").alias("last_date_time"),
+        interval.alias("measurement_interval"),
+    )
+
+
 def file_extent(
     samples: DataFrame,
     file: Sequence[str] = ("file_path",),
@@ -49,7 +155,7 @@ def file_extent(
     if order[0] == ts:
         first, last = F.min(ts), F.max(ts)
     else:
-        first, last = F.min_by(ts, _position(order)), F.max_by(ts, _position(order))
+        first, last = F.min_by(ts, _position(samples, order)), F.max_by(ts, _position(samples, order))
     rows = F.count(F.lit(1)) - (1 if drop_last else 0)
     extent = samples.groupBy(*file).agg(
         first.alias("first_date_time"), last.alias("last_date_time"), rows.alias("_rows")

@@ -17,30 +17,6 @@ _STEP_BITS = 30
 _MARGIN = 2
 
 
-def _mean_around(value: str, k: Column, steps: Window) -> Column:
-    """Difference of two running sums: all up to the window's last row less all before its first.
-
-    ``steps`` orders by row number over k.  An even window reaches one further ahead, so both ends lie just after -1/2 and
-    +1/2.  Running sums take the same time for any width.
-    """
-    v = F.when(~F.isnan(value), F.col(value).cast("double"))
-    endless = F.lit(float("inf"))
-    parts = {
-        "n": F.count(v),
-        "sum": F.sum(F.when(F.abs(v) != endless, v)),
-        "up": F.count(F.when(v == endless, v)),
-        "down": F.count(F.when(v == -endless, v)),
-    }
-    half = 1 << (_STEP_BITS - 1)
-    last = steps.rangeBetween(Window.unboundedPreceding, half + _MARGIN)
-    first = steps.rangeBetween(Window.unboundedPreceding, -half + _MARGIN)
-    n, total, up, down = (
-        F.coalesce(p.over(last), F.lit(0)) - F.coalesce(p.over(first), F.lit(0)) for p in parts.values()
-    )
-    total = F.when(up > 0, endless).otherwise(F.lit(0.0)) - F.when(down > 0, endless).otherwise(F.lit(0.0)) + total
-    return F.when(n == k, total / n)
-
-
 def centered_rolling_mean(
     df: DataFrame,
     values: Sequence[str],
@@ -54,18 +30,59 @@ def centered_rolling_mean(
     """Adds ``<value><suffix>``: the mean of k rows around each row, NULL near the ends.
 
     ``k`` is a number or the name of an integer column that is the same in all rows of a series; where it is NULL or less
-    than 1 there is no mean.  Work does not depend on k.  Every series is sorted within one task: use it where a series'
-    length is known to be moderate, and ``blocked_rolling_mean`` otherwise.
+    than 1 there is no mean.  The series is cut into stretches of k rows.  A window covers the end of one stretch and the
+    beginning of the next, so its sum is one running sum from behind plus one from the front.  Only values of the window are
+    added and nothing is subtracted: a large value leaves no trace once the window has passed it, and work does not depend
+    on k.  Every series is sorted within one task: use it where a series' length is known to be moderate, and
+    ``blocked_rolling_mean`` otherwise.
     """
     names = list(names) if names else [f"{v}{suffix}" for v in values]
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    steps = Window.partitionBy(*by).orderBy("_steps")
-    return (
-        df.withColumns({"_width": _width(k), "_row": place.cast("long")})
-        .withColumn("_steps", F.expr(f"shiftleft(_row, {_STEP_BITS}) div _width"))
-        .withColumns({n: _mean_around(v, F.col("_width"), steps) for n, v in zip(names, values)})
-        .drop("_width", "_row", "_steps")
+    kept = df.columns
+    row = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")
+    width = F.coalesce(F.col("_width"), F.lit(1))
+    df = (
+        df.withColumns({"_width": _width(k), "_row": row})
+        .withColumn("_stretch", F.floor((F.col("_row") - 1) / width))
+        .withColumn("_steps", F.floor(F.shiftleft("_row", _STEP_BITS) / width))
+    )
+    stretch = Window.partitionBy(*by, "_stretch")
+    front = stretch.orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = stretch.orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for i, v in enumerate(values):
+        value = F.when(~F.isnan(v), F.col(v).cast("double"))
+        parts = {"n": F.count(value), "sum": F.sum(value)}
+        df = df.withColumns(
+            {f"_{name}_{side}_{i}": part.over(w) for name, part in parts.items() for side, w in (("front", front), ("behind", behind))}
+        )
+    # an even window reaches one row further ahead, so both ends lie just after -1/2 and +1/2 of a width
+    half = 1 << (_STEP_BITS - 1)
+    series = Window.partitionBy(*by).orderBy("_steps")
+    last = series.rangeBetween(Window.unboundedPreceding, half + _MARGIN)
+    before = series.rangeBetween(Window.unboundedPreceding, -half + _MARGIN)
+    opening = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [f"_{name}_behind_{i}" for i in range(len(values)) for name in ("n", "sum")]
+    # the window begins one row after the last row before it, or with the series
+    heads = F.struct("_row", "_stretch", *sums)
+    df = df.withColumn("_head", heads).withColumn("_next", F.lead("_head").over(series))
+    tail = F.struct("_row", "_stretch", *(f"_{name}_front_{i}" for i in range(len(values)) for name in ("n", "sum")))
+    df = df.withColumns(
+        {
+            "_first": F.coalesce(F.last("_next").over(before), F.first("_head").over(opening)),
+            "_last": F.last(tail).over(last),
+        }
     )
+    # a window cut off by an end of the series has fewer rows
+    whole = F.col("_last._row") - F.col("_first._row") + 1 == F.col("_width")
+    split = F.col("_first._stretch") < F.col("_last._stretch")
+    means = {}
+    for i, name in enumerate(names):
+        total = [
+            F.when(split, F.coalesce(F.col(f"_first._{part}_behind_{i}"), F.lit(0))).otherwise(F.lit(0))
+            + F.coalesce(F.col(f"_last._{part}_front_{i}"), F.lit(0))
+            for part in ("n", "sum")
+        ]
+        means[name] = F.when(whole & (total[0] == F.col("_width")), total[1] / total[0])
+    return df.withColumns(means).select(*kept, *names)
 
 
 def _width(k: int | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turbilux.functions.missing import present, present_number
@@ -96,9 +96,26 @@ def exclude_unclassified(df: DataFrame, *columns: str, label: str = "U") -> Data
     return df
 
 
-def unique_dates(df: DataFrame, column: str = "date") -> DataFrame:
-    """Distinct days with their rank.  The set is bounded by the calendar, not by the data."""
-    days = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    calendar = days.agg(F.array_sort(F.collect_set(column)).alias("_days"))
-    ranked = calendar.select(F.posexplode("_days").alias("_place", column))
-    return ranked.select(column, (F.col("_place") + 1).alias("date_rank"))
+def unique_dates(df: DataFrame, column: str = "date", order: Sequence[str | Column] = ()) -> DataFrame:
+    """Distinct days with their rank (``date_rank``, from 1): by first appearance in ``order``, or by date without one.
+
+    First places are a minimum per day.  Ranks come from a range sort: a row's number in its partition and the number of
+    rows in the partitions before, so no task holds all days.  Rows without a day are left out.
+    """
+    place = F.struct(*order) if order else F.col(column)
+    days = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(place).alias("_first"))
+    # ids grow along the sort: partition number, then row number
+    placed = days.repartitionByRange("_first").sortWithinPartitions("_first").withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright("_id", 33)
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    parts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = parts.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
+    rank = F.col("_offset") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    ranked = placed.withColumn("_part", part).join(offsets, "_part")
+    return ranked.select(column, rank.cast("int").alias("date_rank"))
+
+
+def input_order(df: DataFrame) -> DataFrame:
+    """Adds ``input_file`` and ``input_row``: where each row stands in the Parquet files it was read from."""
+    return df.withColumns({"input_file": F.col("_metadata.file_path"), "input_row": F.col("_metadata.row_index")})

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turbilux.functions.light import rolling_width
-from turbilux.functions.missing import present_number
-from turbilux.operators.extent import common_extent, file_extent
+from turbilux.operators.extent import common_extent, recorded_extent
 from turbilux.operators.joins import join_disturbances, join_problem_poles, samples_in_windows
-from turbilux.operators.pairing import SAMPLE_KEYS, mean_attenuation, pair_loggers, pair_samples
+from turbilux.operators.pairing import SAMPLE_KEYS, mean_attenuation_of_samples
 from turbilux.operators.reshape import pivot_loggers
 from turbilux.operators.rows import (
-    drop_any_null_rows,
     drop_event_rows,
     exclude_dates,
     exclude_flagged,
@@ -42,18 +40,11 @@ def sample_extents(samples: DataFrame, deployments: DataFrame | None = None) ->
     Given deployments, files that none of them names stay out.  A sensor that recorded nothing in a file is left out of
     that file; of the others every row must have a value.
     """
-    readings = drop_event_rows(samples).select("file_path", "number", "date_time", "temp_f", LIGHT)
-    if deployments is not None:
-        used = deployments.select(F.col(PATH).alias("file_path"))
-        readings = readings.join(used, ["file_path"], "left_semi")
-    sensors = ("temp_f", LIGHT)
-    recorded = readings.groupBy("file_path").agg(
-        *(F.count(F.when(present_number(c), F.lit(1))).alias(f"_n_{c}") for c in sensors)
-    )
-    kept = readings.join(recorded, ["file_path"])
-    for c in sensors:
-        kept = kept.filter((F.col(f"_n_{c}") == 0) | present_number(c))
-    return file_extent(drop_any_null_rows(kept.select("file_path", "number", "date_time")))
+    extents = recorded_extent(drop_event_rows(samples), ("temp_f", LIGHT))
+    if deployments is None:
+        return extents
+    used = deployments.select(F.col(PATH).alias("file_path"))
+    return extents.join(used, ["file_path"], "left_semi")
 
 
 def pole_deployments(deployments: DataFrame, extents: DataFrame) -> DataFrame:
@@ -103,15 +94,8 @@ def trial_means(
     """Mean attenuation of each trial that has sample pairs: one scan of the samples."""
     columns = ["file_path", "number", "date_time", LIGHT] + ([day] if day else [])
     inside = samples_in_windows(samples.select(*columns), loggers, ["file_path"], day=day)
-    if "number" in pair_keys:
-        pairs = pair_samples(inside, [*TRIAL, *pair_keys], [LIGHT])
-    else:
-        # times repeat within a logger: every combination counts, as in a natural join
-        sides = [
-            inside.filter(F.col("logger_number") == n).select(*TRIAL, *pair_keys, LIGHT) for n in (1, 2)
-        ]
-        pairs = pair_loggers(*sides, keys=pair_keys, within=TRIAL)
-    return mean_attenuation(pairs, TRIAL, LIGHT, zero_light)
+    # samples may repeat: every combination counts, as in a natural join
+    return mean_attenuation_of_samples(inside, TRIAL, pair_keys, LIGHT, zero_light)
 
 
 def pole_trials(
@@ -133,7 +117,7 @@ def pole_trials(
     """
     deployments = exclude_dates(deployments, excluded_dates)
     if extents is None:
-        extents = sample_extents(samples, deployments)
+        extents = sample_extents(samples)
     trials = planned_trials(deployments, extents, disturbances)
     means = trial_means(deployed_loggers(deployments, disturbances), samples, pair_keys, zero_light, day)
     return join_problem_poles(trials.join(means, list(TRIAL), "left"), problems)

@@ -112,6 +112,47 @@ def heatmaps(cells: DataFrame) -> dict[str, DataFrame]:
     return {name: heatmap(roll(cells), fill, label) for name, (roll, fill, label) in HEATMAPS.items()}
 
 
+def all_heatmaps(
+    trials: DataFrame, coords: DataFrame, min_mean: float | None = 0.0, problem: str = "problem", **grid_options
+) -> DataFrame:
+    """The tiles of every heatmap, with and without flagged poles, in one frame and from one pass over the poles.
+
+    drawing (a name of ``HEATMAPS``), filtered, date, disturbance_number, track, zone, fill, label and the tile's bounds;
+    keys that a drawing does not have are NULL.  A pole without a problem counts for both versions of its cell; cells, days
+    and the experiment are then rolled up from the same aggregated cells.  The experiment is drawn unfiltered only.
+    """
+    poles = gridded_poles(trials, coords, **grid_options)
+    versions = F.when(F.col(problem).isNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    cells = C.cell_stats(poles.withColumn("filtered", F.explode(versions)), ("filtered", *C.CELL), min_mean=min_mean)
+    values = ("mean_light_attenuation", "n", "sum_light_attenuation")
+
+    def rolled(df: DataFrame, *by) -> DataFrame:
+        mean, n, total = values
+        return df.groupBy(*by).agg(C.mean_of(mean).alias(mean), F.sum(n).alias(n), C.sum_of(total).alias(total))
+
+    def drawn(names: Sequence[str]):
+        return F.array(
+            *(
+                F.struct(F.lit(name).alias("drawing"), F.col(fill).alias("fill"), round_label(label).alias("label"))
+                for name, (_, fill, label) in HEATMAPS.items()
+                if name in names
+            )
+        )
+
+    days = rolled(cells, "filtered", *C.DAY)
+    levels = days.withColumn("level", F.explode(F.array(F.lit("day"), F.lit("experiment"))))
+    date = F.when(F.col("level") == "day", F.col("date")).alias("date")
+    both = rolled(levels, "filtered", "level", date, *C.PLACE).filter("level = 'day' or not filtered")
+    of_level = F.when(F.col("level") == "day", drawn(("day_mean", "day_sum"))).otherwise(drawn(("experiment_mean",)))
+    keys = ("filtered", *C.CELL)
+    tiles = cells.select(*keys, F.explode(drawn(("cell_mean", "cell_sum"))).alias("tile")).unionByName(
+        both.withColumn("disturbance_number", F.lit(None).cast(dict(cells.dtypes)["disturbance_number"])).select(
+            *keys, F.explode(of_level).alias("tile")
+        )
+    )
+    return C.with_tile_bounds(tiles.select("tile.drawing", *keys, "tile.fill", "tile.label"))
+
+
 def grid_tiles(spark) -> DataFrame:
     """The nine cells of the site with their bounds."""
     return C.with_tile_bounds(exclude_unclassified(C.grid(spark)))

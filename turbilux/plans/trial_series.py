@@ -9,7 +9,7 @@ from turbilux.functions.geometry import trial_title
 from turbilux.functions.light import attenuation_pct, scale_to_axis
 from turbilux.functions.times import pad_window
 from turbilux.operators.joins import samples_in_windows
-from turbilux.operators.pairing import pair_samples
+from turbilux.operators.pairing import pair_all
 from turbilux.operators.reshape import unpivot_loggers
 from turbilux.operators.rolling import BLOCK_ROWS, blocked_rolling_mean
 from turbilux.plans.pole_trials import LIGHT, TRIAL, trial_loggers
@@ -22,7 +22,7 @@ def _padded(trials: DataFrame, minutes: int) -> DataFrame:
 
 
 def paired_series(trials: DataFrame, samples: DataFrame, pad_minutes: int, day: str | None) -> DataFrame:
-    """Sample pairs of the widened windows, with the trial's rolling width ``_k``."""
+    """Sample pairs of the widened windows, with the trial's rolling width ``_k``; repeated samples give every pair."""
     columns = ["file_path", "number", "date_time", "temp_f", LIGHT] + ([day] if day else [])
     inside = samples_in_windows(
         samples.select(*columns),
@@ -30,7 +30,7 @@ def paired_series(trials: DataFrame, samples: DataFrame, pad_minutes: int, day:
         ["file_path"],
         day=day,
     )
-    return pair_samples(
+    return pair_all(
         inside, [*TRIAL, "number", "date_time"], ["temp_f", LIGHT], extra=[F.max("_k").alias("_k")]
     )
 
@@ -59,7 +59,8 @@ def trial_series(
         values,
         "_k",
         by=TRIAL,
-        order=["number", "date_time"],
+        # pairs of repeated samples stand in the order of their values
+        order=["number", "date_time", *values, "temp_f_1", "temp_f_2"],
         names=names,
         chunk=F.floor(F.col("number") / BLOCK_ROWS),
     )
