@@ -9,7 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turbilux.functions.missing import present_number
 from turbilux.functions.times import seconds_between
 from turbilux.operators.joins import lookup_join
 
@@ -67,69 +66,58 @@ def recorded_extent(
     the wanted one is that of all sensors the file recorded.  The states are pre-aggregated over runs of ``CHUNK_ROWS``
     ordinals (unique within the file) and merged per file: the samples are scanned once and only states are shuffled.
     """
-    held = [F.when(present_number(c), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(sensors)]
-    place = (F.col(number) % CHUNK_ROWS + CHUNK_ROWS) % CHUNK_ROWS
-    known = F.col(number).isNotNull() & F.col(ts).isNotNull()
-    rows = samples.filter(F.col(file).isNotNull()).select(
-        file,
-        number,
-        ts,
-        reduce(lambda a, b: a.bitwiseOR(b), held).alias("_held"),
-        F.when(known, F.floor(F.col(number) / CHUNK_ROWS)).alias("_chunk"),
-        F.when(known, place.cast("int")).alias("_place"),
+    held = " + ".join(f"if(`{c}` is null or isnan(`{c}`), 0, {1 << i})" for i, c in enumerate(sensors))
+    known = f"`{number}` is not null and `{ts}` is not null"
+    rows = samples.filter(F.col(file).isNotNull()).selectExpr(
+        f"`{file}` as _file",
+        f"if({known}, `{number}`, null) as _number",
+        f"`{ts}` as _time",
+        f"{held} as _held",
+        f"if({known}, floor(`{number}` / {CHUNK_ROWS}), null) as _chunk",
+        f"if({known}, cast(pmod(`{number}`, {CHUNK_ROWS}) as int), null) as _place",
     )
-
-    def bit(c: Column, i: int) -> Column:
-        return F.shiftright(c, i).bitwiseAND(F.lit(1))
-
+    bits = range(_BITS)
     # last row of those whose place has the bit set or not: the last but one is the last of some such half
-    halves = {
-        f"_half_{i}_{v}": F.max_by(ts, F.when(bit(F.col("_place"), i) == v, F.col(number)))
-        for i in range(_BITS)
-        for v in (0, 1)
-    }
-    states = rows.groupBy(file, "_held", "_chunk").agg(
-        F.count("_place").alias("_n"),
-        F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_places"),
-        F.max("_place").alias("_top"),
-        F.min_by(ts, F.when(known, F.col(number))).alias("_first"),
-        F.max_by(ts, F.when(known, F.col(number))).alias("_last"),
-        *(half.alias(name) for name, half in halves.items()),
+    halves = [
+        F.expr(f"max_by(_time, if((_place >> {i}) & 1 = {v}, _number, null)) as _half_{i}_{v}") for i in bits for v in (0, 1)
+    ]
+    states = rows.groupBy("_file", "_held", "_chunk").agg(
+        F.expr("count(_place) as _n"),
+        F.expr("bit_or(shiftleft(1L, _place)) as _places"),
+        F.expr("max(_place) as _top"),
+        F.expr("min_by(_time, _number) as _first"),
+        F.expr("max_by(_time, _number) as _last"),
+        *halves,
     )
-    others = F.expr("_places ^ shiftleft(1L, _top)")
-    second = F.length(F.bin(others)) - 1
-    before = F.lit(None)
-    for i in range(_BITS):
-        found = F.when(bit(second, i) == 1, F.col(f"_half_{i}_1")).otherwise(F.col(f"_half_{i}_0"))
-        before = F.when(bit(second, i) != bit(F.col("_top"), i), found).otherwise(before)
-    states = states.select(
-        file, "_held", "_chunk", "_n", "_first", "_last", F.when(others != 0, before).alias("_before")
+    second = "length(bin(_places ^ shiftleft(1L, _top))) - 1"
+    found = " ".join(
+        f"when ((({second}) ^ _top) >> {i}) & 1 = 1 then if((({second}) >> {i}) & 1 = 1, _half_{i}_1, _half_{i}_0)" for i in bits
     )
     # a chunk of one row is preceded by the last row of the chunk before
-    order = Window.partitionBy(file).orderBy("_held", "_chunk")
-    earlier = F.lag(F.struct("_held", "_last")).over(order)
-    states = states.withColumn("_earlier", earlier).withColumn(
-        "_before",
-        F.coalesce("_before", F.when(F.col("_earlier._held") == F.col("_held"), F.col("_earlier._last"))),
-    )
+    states = states.selectExpr(
+        "_file", "_held", "_chunk", "_n", "_first",
+        f"case when _n > 1 then case {found} end end as _inside",
+        "lag(struct(_held, _last)) over (partition by _file order by _held, _chunk) as _earlier",
+    ).selectExpr(
+        "_file", "_held", "_chunk", "_n", "_first",
+        "coalesce(_inside, if(_earlier._held = _held, _earlier._last, null)) as _before",
+    )
     combinations = range(1 << len(sensors))
-    aggregates = [F.bit_or("_held").alias("_recorded")]
+    aggregates = [F.expr("bit_or(_held) as _recorded")]
     for c in combinations:
-        at = F.when(F.col("_held") == c, F.col("_chunk"))
         aggregates += [
-            F.sum(F.when(F.col("_held") == c, F.col("_n"))).alias(f"_n_{c}"),
-            F.min_by("_first", at).alias(f"_first_{c}"),
-            F.max_by("_before", at).alias(f"_before_{c}"),
+            F.expr(f"sum(if(_held = {c}, _n, null)) as _n_{c}"),
+            F.expr(f"min_by(_first, if(_held = {c}, _chunk, null)) as _first_{c}"),
+            F.expr(f"max_by(_before, if(_held = {c}, _chunk, null)) as _before_{c}"),
         ]
-    merged = states.groupBy(file).agg(*aggregates)
 
-    def wanted(name: str) -> Column:
-        return F.coalesce(*(F.when(F.col("_recorded") == c, F.col(f"_{name}_{c}")) for c in combinations))
+    def wanted(name: str) -> str:
+        return f"case _recorded {' '.join(f'when {c} then _{name}_{c}' for c in combinations)} end as _{name}"
 
-    chosen = merged.select(file, wanted("n").alias("_n"), wanted("first").alias("_first"), wanted("before").alias("_before"))
+    chosen = states.groupBy("_file").agg(*aggregates).selectExpr("_file", wanted("n"), wanted("first"), wanted("before"))
     interval = F.try_divide(seconds_between("_first", "_before"), F.col("_n") - 2)
     return chosen.filter(F.col("_n") > 0).select(
-        file,
+        F.col("_file").alias(file),
         F.when(F.col("_n") > 1, F.col("_first")).alias("first_date_time"),
         F.col("_before").alias("last_date_time"),
         interval.alias("measurement_interval"),
