@@ -24,17 +24,15 @@ from turbilux.llm.text_arrays import Words, blocks, mix, text_of, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 32
+SKETCHES = 64
 # leaders a bucket is compared with, one after the other, before the pairs that are still open
 ROUNDS = 3
-# members (about) on each side of a tile of open pairs
-TILE = 512
+# members and bytes of words (about) on each side of a tile of open pairs: a tile is what one worker holds
+TILE, TILE_BYTES = 65_536, 8 << 20
 # classes of words whose counts bound the distance of two texts from below
 BINS = 256
 # pairs whose bounds are computed at once
 PAIRS = 4096
-# texts whose number alone may be broadcast to pick them from the table (8 bytes each)
-BROADCAST_NODES = 200_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -185,7 +183,7 @@ def _verified(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
     return joined.mapInArrow(run, "leader long, node long")
 
 
-def _open_rows(members: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
+def _open_rows(members: DataFrame, parts: DataFrame, sequences: DataFrame, tile: int) -> DataFrame:
     """Members of buckets that hold several components, once for each tile: bucket, i, j, role, small, node, component.
 
     Two members of different components are not both in the largest one of their bucket.  So the others (``small``), in
@@ -194,17 +192,22 @@ def _open_rows(members: DataFrame, parts: DataFrame, tile: int) -> DataFrame:
     tagged = staged(
         members.select("bucket", "node")
         .join(parts, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        .join(sequences.select("node", F.length("words").alias("bytes")), "node")
+        .select("bucket", "node", "bytes", F.coalesce("component", "node").alias("component"))
     )
-    counts = tagged.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = F.max(F.struct("n", "component"))
+    counts = tagged.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    largest = F.max(F.struct("n", "component", "bytes"))
+
+    def chunks(n, size):
+        return F.greatest(F.ceil(n / tile), F.ceil(size / TILE_BYTES)).cast("int")
+
     shape = counts.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("components"),
         largest["component"].alias("largest"),
-        F.ceil(F.sum("n") / tile).cast("int").alias("all_chunks"),
-        F.ceil((F.sum("n") - largest["n"]) / tile).cast("int").alias("small_chunks"),
+        chunks(F.sum("n"), F.sum("bytes")).alias("all_chunks"),
+        chunks(F.sum("n") - largest["n"], F.sum("bytes") - largest["bytes"]).alias("small_chunks"),
     )
-    rows = tagged.join(shape.where("components > 1"), "bucket").withColumn("small", F.expr("component <> largest"))
+    rows = tagged.drop("bytes").join(shape.where("components > 1"), "bucket").withColumn("small", F.expr("component <> largest"))
     tiles = F.expr(
         """case when all_chunks = 1 then array(struct(0 as i, 0 as j, if(small, 3, 2) as role))
            else concat(
@@ -325,10 +328,7 @@ def near_groups(
     # the most central text of a bucket shares its sketches with most others
     central = members.groupBy("node").agg(F.sum("members").alias("weight"))
     members = staged(members.select("bucket", "node").join(central, "node"))
-    involved = central.select("node")
-    if involved.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
-        involved = F.broadcast(involved)
-    sequences = staged(_sequences(nodes.join(involved, "node", "left_semi")).dropDuplicates(["node"]))
+    sequences = staged(_sequences(nodes.join(central.select("node"), "node", "left_semi")).dropDuplicates(["node"]))
     links, left = None, members
     for _ in range(rounds):
         leaders = left.groupBy("bucket").agg(
@@ -340,7 +340,7 @@ def near_groups(
         links = found if links is None else links.union(found)
         left = staged(led.join(found, ["leader", "node"], "left_anti").select("bucket", "node", "weight"))
     parts = staged(components(links.select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-    still = _open_links(_open_rows(members, parts, tile), sequences.join(sketched, "node"), least)
+    still = _open_links(_open_rows(members, parts, sequences, tile), sequences.join(sketched, "node"), least)
     # what was joined is one node now
     labels = [parts.select(F.col("node").alias(end), F.col("component").alias(c)) for end, c in (("leader", "a"), ("node", "b"))]
     still = still.join(labels[0], "leader", "left").join(labels[1], "node", "left")
