@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -286,6 +288,17 @@ def test_maximal_segments():
         assert np.allclose([g[2] for g in got], [w[2] for w in want])
 
 
+def test_maximal_segments_take_linear_time():
+    # each search passes all segments before it: they begin higher and higher, and none can be joined
+    n = 500_000
+    falling = np.tile([1.0, -2.0], n)
+    began = time.perf_counter()
+    assert len(toxic_segments.maximal_segments(falling)) == n
+    rising = np.tile([-1.0, 2.0], n)
+    assert len(toxic_segments.maximal_segments(rising)) == 1
+    assert time.perf_counter() - began < 30
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -330,6 +343,24 @@ def test_cross_parsing_equals_longest_matches():
     assert bits[0, 0] == pytest.approx(phrases * np.log2(len(source)) / len(text))
 
 
+def test_long_texts_are_parsed_without_cuts():
+    rng = random.Random(6)
+    training = "".join(rng.choices("abcdefgh ", k=4000)).strip()
+    parser = cross_parsing.Parser((("x", training), ("y", "zz")))
+    source = re.sub(" +", " ", " " + training)
+    copied = source[100:3900].strip()
+    texts = [copied, "".join(rng.choices("abcdefghz", k=5000)), copied + "z" + copied, "ab", ""]
+    bits, _ = parser.entropies(texts)
+    for text, found in zip(texts, bits[:, 0]):
+        phrases, at = 0, 0
+        while at < len(text):
+            end = at + 1
+            while end < len(text) and text[at : end + 1] in source:
+                end += 1
+            phrases, at = phrases + 1, end
+        assert found * max(len(text), 1) == pytest.approx(phrases * np.log2(len(source)))
+
+
 def test_sample_of_copies_and_headings(spark):
     heading = "the same long heading of every page " * 20
     rows = [("en", "one text that has many copies")] * 50
@@ -517,6 +548,23 @@ def test_licenses(spark, odd_docs, no_docs):
     assert license_digests.scan_licenses(no_docs).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Every short text at usual widths, with a holder line before it, and a text whose terms begin lines with "copyright"."""
+    known = dict(reversed(license_digests.full_texts()))
+    bodies = {i: known[i] for i in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0")}
+    rows = []
+    for name, body in bodies.items():
+        for width in range(60, 101, 4):
+            paragraphs = re.split(r"\n\s*\n", body)
+            holder = re.compile(r"(?mi)^\s*(copyright\b.*[12][0-9]{3}|all rights reserved)")
+            wrapped = "\n\n".join(p if holder.search(p) else textwrap.fill(" ".join(p.split()), width, break_on_hyphens=False) for p in paragraphs)
+            rows.append((name, "Copyright (c) 2019 A. Holder\n\n" + wrapped))
+    rows.append(("ISC", "ISC License\n\nCopyright 2004 Somebody\n\n" + textwrap.fill(bodies["ISC"].split("\n\n")[0], 76).replace(
+        "above copyright", "above\ncopyright") + "\n\n" + bodies["ISC"].split("\n\n")[1]))
+    got = license_digests.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.license_id) for r in got if r.doc_id != r.license_id] == []
+
+
 def test_whole_license_files(spark):
     known = dict(reversed(license_digests.full_texts()))
     body = {i: t for i, t in license_digests.KNOWN_TEXTS if "\n" in t}

@@ -21,7 +21,7 @@ from turbilux.llm.text_arrays import blocks
 # bounds of the labelled sample: documents of a language, and characters taken from each
 SAMPLE_DOCS = 100
 SAMPLE_CHARS = 500
-# a text is parsed in stretches of so many symbols side by side; a phrase ends with its stretch at the latest
+# a text is parsed in stretches of so many symbols side by side; phrases go on from one to the next
 STRETCH = 512
 UNDETERMINED = "und"
 
@@ -138,17 +138,39 @@ class Parser:
         for k in range(STRETCH):
             at = first + k
             columns.append(np.where(at < limit, symbols[np.minimum(at, max(len(symbols) - 1, 0))], self.filler).astype(np.int32))
+        table = np.stack(columns) if len(owner) else np.zeros((STRETCH, 0), np.int32)
+        opening = np.ones(len(owner), bool)
+        opening[1:] = owner[1:] != owner[:-1]
+        closing = np.append(opening[1:], True)[: len(owner)]
         for j, steps in enumerate(self._steps):
-            state = np.zeros(len(owner), np.int32)
-            ended = np.zeros(len(owner), np.int32)
-            for column in columns:
-                step = steps[state * self.width + column]
-                ended += step & 3
-                state = step >> 2
-            ended += state > 0
+            ended, last = self._parsed(steps, table, opening)
+            ended += closing & (last > 0)
             phrases[:, j] = np.bincount(owner, ended, minlength=len(texts)) * self._bits[j]
         return phrases / np.maximum(counts, 1)[:, None], has_letter
 
+    def _parsed(self, steps: np.ndarray, table: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in each stretch, and the state behind it.
+
+        All stretches are parsed as if a phrase began with them, then again those that are entered in another state, until
+        every stretch begins in the state in which the one before ended.  Parses that begin differently soon meet, so two
+        rounds are usual; a text that is one long match takes a round for each of its stretches.
+        """
+        lanes = table.shape[1]
+        entered, left, ended = (np.zeros(lanes, np.int32) for _ in range(3))
+        due = np.arange(lanes)
+        while len(due):
+            state, count = entered[due], np.zeros(len(due), np.int32)
+            for column in table[:, due]:
+                step = steps[state * self.width + column]
+                count += step & 3
+                state = step >> 2
+            left[due], ended[due] = state, count
+            before = np.concatenate([[0], left[:-1]])
+            before[opening] = 0
+            due = np.flatnonzero(before != entered)
+            entered[due] = before[due]
+        return ended, left
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score, the margin of the best over the second, from 0 to 1."""
         if not self.languages or not texts:

@@ -71,10 +71,11 @@ SPELLINGS = (
     ("gnu gpl", "gnu general public license"),
     ("https:", "http:"),
 )
-# lines that name a holder or year, not terms
-COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# lines that name a holder and a year, not terms; a line of the terms may begin with "copyright" or "(c)" when it is wrapped
+HOLDER = r"(copyright\b[^\n]*(\(c\)|©|[12][0-9]{3})|(\(c\)|©)[^\n]*[12][0-9]{3}|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[ \t]*" + HOLDER
 # the same lines behind the mark of a comment
-COMMENTED_COPYRIGHT_LINE = r"(?mi)^[ \t]*(#+|//+|/?\*+|;+|--+)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COMMENTED_COPYRIGHT_LINE = r"(?mi)^[ \t]*(#+|//+|/?\*+|;+|--+)[ \t]*" + HOLDER
 VERSION_MARK = r"\b(version|ver\.|v) ?([0-9])"
 NO_WORD = r"[^\p{L}\p{N}\n]+"
 LINE_EDGE = r"(?m)^ | $"

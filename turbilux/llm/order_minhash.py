@@ -24,7 +24,7 @@ from turbilux.llm.text_arrays import Words, blocks, mix, text_of, utf8
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 64
+SKETCHES = 96
 # leaders a bucket is compared with, one after the other, before the pairs that are still open
 ROUNDS = 3
 # members and bytes of words (about) on each side of a tile of open pairs: a tile is what one worker holds

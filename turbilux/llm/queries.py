@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,7 +192,7 @@ def _sql_text(value: str) -> str:
 
 
 def _sql_canonical(text: str) -> str:
-    out = f"regexp_replace(lower(coalesce({text}, '')), {_sql_text(license_digests.COPYRIGHT_LINE)}, '', 'g')"
+    out = f"regexp_replace(lower({text}), {_sql_text(license_digests.COPYRIGHT_LINE)}, '', 'g')"
     for old, new in license_digests.SPELLINGS:
         out = f"replace({out}, {_sql_text(old)}, {_sql_text(new)})"
     out = f"regexp_replace({out}, {_sql_text(license_digests.VERSION_MARK)}, 'version \\2', 'g')"
@@ -198,19 +200,31 @@ def _sql_canonical(text: str) -> str:
     return f"regexp_replace({out}, {_sql_text(license_digests.LINE_EDGE)}, '', 'g')"
 
 
-_SQL_KNOWN = ", ".join(f"({_sql_text(i)}, {_sql_text(t)})" for i, t in license_digests.KNOWN_TEXTS)
+def _digest(text: str) -> str:
+    """The digest of a known text, worked out apart from Spark."""
+    text = regex.sub(license_digests.COPYRIGHT_LINE, "", text.lower())
+    for old, new in license_digests.SPELLINGS:
+        text = text.replace(old, new)
+    text = regex.sub(license_digests.VERSION_MARK, r"version \2", text)
+    return hashlib.sha256(" ".join(regex.sub(license_digests.NO_WORD, " ", text).split()).encode()).hexdigest()
+
+
+_SQL_KNOWN = ", ".join(
+    f"({_sql_text(i)}, '{d}')" for i, d in sorted({(i, _digest(t)) for i, t in license_digests.KNOWN_TEXTS + license_digests.full_texts()})
+)
+_SQL_PLAIN = f"regexp_replace(coalesce(text, ''), {_sql_text(license_digests.COMMENTED_COPYRIGHT_LINE)}, '', 'g')"
 
 
 @query(
     "op5_license_digests",
-    f"""with k as (select distinct i, sha256(trim(regexp_replace({_sql_canonical("x")}, '[ \n]+', ' ', 'g'))) h
-                   from (values {_SQL_KNOWN}) v(i, x)),
-       d as (select doc_id, {_sql_canonical("text")} c from documents),
-       w as (select doc_id, sha256(trim(regexp_replace(c, '[ \n]+', ' ', 'g'))) h from d),
+    f"""with k as (select i, h from (values {_SQL_KNOWN}) v(i, h)),
+       d as (select doc_id, {_sql_canonical("coalesce(text, '')")} c, {_sql_canonical(_SQL_PLAIN)} p from documents),
+       w as (select doc_id, sha256(trim(regexp_replace(c, '[ \n]+', ' ', 'g'))) h,
+                    sha256(trim(regexp_replace(p, '[ \n]+', ' ', 'g'))) u from d),
        l as (select doc_id, sha256(unnest(string_split(c, chr(10)))) h from d),
        m as (select doc_id, string_agg(distinct i, ',' order by i) ls, count(*) n from l join k using (h) group by 1)
-       select w.doc_id, w.h text_digest, k.i license_id, coalesce(ls, '') line_licenses, coalesce(n, 0) n_license_lines
-       from w left join k using (h) left join m using (doc_id)""",
+       select w.doc_id, w.h text_digest, coalesce(k.i, o.i) license_id, coalesce(ls, '') line_licenses, coalesce(n, 0) n_license_lines
+       from w left join k using (h) left join k o on o.h = w.u left join m using (doc_id)""",
 )
 def _op5(spark, sf):
     return license_digests.scan_licenses(_table(spark, sf, "documents"))

@@ -104,22 +104,26 @@ def log_odds(counts: DataFrame, toxic_pairs: float, other_pairs: float, keep: in
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score) of a sequence, in one pass (Ruzzo and Tompa)."""
+    """All maximal scoring segments (first, last, score) of a sequence, in linear time (Ruzzo and Tompa).
+
+    Each kept segment remembers the nearest one before it that begins lower, so a search jumps over all those that an
+    earlier search has passed.
+    """
     total = np.concatenate([[0.0], np.cumsum(scores)])
-    stack: list[tuple[int, int, float, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []
     for i in np.flatnonzero(scores > 0).tolist():
         first, last, low, high = i, i, float(total[i]), float(total[i + 1])
         while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][2] >= low:
                 # segments that begin no lower can never be extended to the left by a later one that begins lower
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][3] >= high:
-                stack.append((first, last, low, high))
+                stack.append((first, last, low, high, j))
                 break
             first, low = stack[j][0], stack[j][2]
             del stack[j:]
-    return [(a, b, high - low) for a, b, low, high in stack]
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 @dataclass
