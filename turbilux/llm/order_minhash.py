@@ -2,8 +2,7 @@
 
 Shingles of five words, labelled by their occurrence in the text, are hashed by several functions.  Each function samples
 its two least shingles and keeps them in text order; a pair in common makes two texts candidates.  A bucket is compared
-with its most central text, what does not match it with the next one, and so on, which joins most of a bucket by work linear
-in it.  Then every pair of a bucket that is not yet in one component is compared, in tiles of bounded size: bounds on the
+with its most central text, which joins most of a bucket by work linear in it.  Then every pair of a bucket that is not yet in one component is compared, in tiles of bounded size: bounds on the
 distance that cannot reject a similar pair come first.  Candidates are verified by edit distance over words inside a band.
 """
 
@@ -26,7 +25,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 96
 # leaders a bucket is compared with, one after the other, before the pairs that are still open
-ROUNDS = 3
+ROUNDS = 1
 # members and bytes of words (about) on each side of a tile of open pairs: a tile is what one worker holds
 TILE, TILE_BYTES = 65_536, 8 << 20
 # classes of words whose counts bound the distance of two texts from below
