@@ -18,7 +18,8 @@ from turbilux.functions.light import rolling_width  # noqa: E402
 from turbilux.functions.times import date_plus_time, parse_date, parse_logger_timestamp, wall_seconds  # noqa: E402
 from turbilux.operators import cells as C  # noqa: E402
 from turbilux.operators.extent import drop_last_row, file_extent, harmonise_extent  # noqa: E402
-from turbilux.operators.joins import join_coordinates, samples_in_windows  # noqa: E402
+from turbilux.operators.exact_sums import order_free_stats  # noqa: E402
+from turbilux.operators.joins import join_coordinates, samples_in_windows, window_bin_seconds  # noqa: E402
 from turbilux.operators.pairing import (  # noqa: E402
     mean_attenuation,
     mean_attenuation_of_samples,
@@ -189,6 +190,46 @@ def _mean_intensity(spark, sf):
     return rounded(mean_intensity(inside, ["date", "disturbance_number", "pole_id", "logger_number"], "intensity"))
 
 
+@query(
+    "mean_intensity_binned",
+    f"""select d.date, d.disturbance_number, cast(user_id // 2 as bigint) pole_id, {r6('avg(value)')} mean_intensity
+       from events join v_disturbances d on ts >= d.start_time and ts < d.end_time
+       group by 1, 2, 3""",
+)
+def _mean_intensity_binned(spark, sf):
+    """Every event in its windows without a file key, met by bins as wide as an eighth of a window."""
+    samples = V.table(spark, sf, "events").select(
+        F.floor(F.col("user_id") / 2).alias("pole_id"), F.col("ts").cast("timestamp_ntz").alias("ts"), "value"
+    )
+    windows = V.disturbances(spark, sf)
+    inside = samples_in_windows(samples, windows, ts="ts", bin_seconds=window_bin_seconds(windows))
+    return rounded(mean_intensity(inside, ["date", "disturbance_number", "pole_id"], "value"))
+
+
+@query(
+    "intensity_order_free",
+    f"""select event_type, count(*) n, {r6('avg(value)')} mean_intensity, {r6('stddev_samp(value)')} sd_intensity,
+              cast(cast(sum(cast(round(value * 4) as hugeint) * 3) as varchar) as double) sum_exact
+       from events group by 1""",
+)
+def _intensity_order_free(spark, sf):
+    """Statistics of single events that are equal to the last bit on any cluster; the exact sum is compared unrounded."""
+    events = V.table(spark, sf, "events").select(
+        "event_type", F.col("value"), (F.round(F.col("value") * 4) * 3).alias("steps")
+    )
+    stats = order_free_stats(
+        events,
+        ["event_type"],
+        means={"mean_intensity": "value"},
+        sds={"sd_intensity": "value"},
+        sums={"sum_exact": "steps"},
+        wholes={"n": F.lit(1)},
+    )
+    return stats.select(
+        "event_type", "n", *((F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("mean_intensity", "sd_intensity")), "sum_exact"
+    )
+
+
 @query(
     "pairing_report",
     """select pole_id,
@@ -796,9 +837,9 @@ def _pole_map_listed(spark, sf):
 # --- cells and roll-ups --------------------------------------------------------------
 
 
-def _cells(spark, sf, filtered=False, min_mean=0.0):
+def _cells(spark, sf, filtered=False, min_mean=0.0, order_free=False):
     return cell_attenuation(
-        V.attenuation_with_problems(spark, sf), _xy(spark, sf), filtered, min_mean, on=["pole_id"]
+        V.attenuation_with_problems(spark, sf), _xy(spark, sf), filtered, min_mean, order_free, on=["pole_id"]
     )
 
 
@@ -862,6 +903,11 @@ def _register_rollups() -> list[str]:
             query(name + suffix, rounded_sql(inner, doubles))(
                 lambda spark, sf, roll=roll, filtered=filtered: rounded(roll(_cells(spark, sf, filtered)))
             )
+            if not filtered:
+                free = {} if name == "cell_stats" else {"order_free": True}
+                query(f"{name}_order_free", rounded_sql(inner, doubles))(
+                    lambda spark, sf, roll=roll, free=free: rounded(roll(_cells(spark, sf, order_free=True), **free))
+                )
             for drawing in drawings:
                 _, fill, label = HEATMAPS[drawing]
                 tiles = heatmap_sql(inner, doubles, fill, label)

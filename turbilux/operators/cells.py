@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turbilux.functions.geometry import snap_to, tile_bounds, track_of, zone_of
 from turbilux.functions.missing import nan_to_null
+from turbilux.operators.exact_sums import order_free_stats
 from turbilux.site import TRACK_BREAKS, TRACK_LEVELS, ZONE_BREAKS, ZONE_LEVELS
 
 CELL = ("date", "disturbance_number", "track", "zone")
@@ -38,19 +39,40 @@ def cell_stats(
     by: Sequence[str] = CELL,
     value: str = "light_attenuation_mean",
     min_mean: float | None = 0.0,
+    order_free: bool = False,
 ) -> DataFrame:
-    """Mean, sample sd, rows and sum per cell; cells below ``min_mean`` go (None keeps all)."""
-    stats = poles.groupBy(*by).agg(
-        mean_of(value).alias("mean_light_attenuation"),
-        _sd(value).alias("sd_light_attenuation"),
-        F.count(F.lit(1)).alias("n"),
-        sum_of(value).alias("sum_light_attenuation"),
-    )
+    """Mean, sample sd, rows and sum per cell; cells below ``min_mean`` go (None keeps all).
+
+    With ``order_free``, here and in the roll-ups below, equal bits come out on any cluster (``exact_sums``).
+    """
+    if order_free:
+        stats = order_free_stats(
+            poles,
+            by,
+            means={"mean_light_attenuation": value},
+            sds={"sd_light_attenuation": value},
+            sums={"sum_light_attenuation": value},
+            wholes={"n": F.lit(1)},
+        ).select(*by, "mean_light_attenuation", "sd_light_attenuation", "n", "sum_light_attenuation")
+    else:
+        stats = poles.groupBy(*by).agg(
+            mean_of(value).alias("mean_light_attenuation"),
+            _sd(value).alias("sd_light_attenuation"),
+            F.count(F.lit(1)).alias("n"),
+            sum_of(value).alias("sum_light_attenuation"),
+        )
     return stats if min_mean is None else stats.filter(F.col("mean_light_attenuation") >= min_mean)
 
 
-def day_mean(cells: DataFrame) -> DataFrame:
+# what the roll-ups of cells take the mean and the sd of
+_MEAN = {"mean_light_attenuation": "mean_light_attenuation"}
+_SD = {"sd_light_attenuation": "sd_light_attenuation"}
+
+
+def day_mean(cells: DataFrame, order_free: bool = False) -> DataFrame:
     """Mean of cell means, sd of cell sds, ``n`` = number of cells."""
+    if order_free:
+        return order_free_stats(cells, DAY, means=_MEAN, sds=_SD, wholes={"n": F.lit(1)})
     return cells.groupBy(*DAY).agg(
         mean_of("mean_light_attenuation").alias("mean_light_attenuation"),
         _sd("sd_light_attenuation").alias("sd_light_attenuation"),
@@ -58,8 +80,11 @@ def day_mean(cells: DataFrame) -> DataFrame:
     )
 
 
-def day_sum(cells: DataFrame) -> DataFrame:
+def day_sum(cells: DataFrame, order_free: bool = False) -> DataFrame:
     """As ``day_mean``, but ``n`` and the sums add up over the cells."""
+    if order_free:
+        total = {"sum_light_attenuation": "sum_light_attenuation"}
+        return order_free_stats(cells, DAY, means=_MEAN, sds=_SD, sums=total, wholes={"n": F.col("n")})
     return cells.groupBy(*DAY).agg(
         mean_of("mean_light_attenuation").alias("mean_light_attenuation"),
         _sd("sd_light_attenuation").alias("sd_light_attenuation"),
@@ -68,8 +93,10 @@ def day_sum(cells: DataFrame) -> DataFrame:
     )
 
 
-def experiment_mean(cells: DataFrame) -> DataFrame:
+def experiment_mean(cells: DataFrame, order_free: bool = False) -> DataFrame:
     """Per day first, then over the days: mean of means and sd of sds, both times."""
+    if order_free:
+        return order_free_stats(day_mean(cells, order_free=True), PLACE, means=_MEAN, sds=_SD)
     return (
         day_mean(cells)
         .groupBy(*PLACE)

@@ -23,13 +23,14 @@ def paired_window_means(
     value: str = "intensity_lum_ft2",
     ts: str = "date_time",
     day: str | None = None,
+    bin_seconds: int | None = None,
 ) -> DataFrame:
     """Mean light of both loggers per pole and window in one aggregation.
 
     Same rows as a full outer join of the two loggers' means: a pole with one working
     logger stays, a pole with none goes.
     """
-    inside = samples_in_windows(samples, windows, on, ts=ts, day=day)
+    inside = samples_in_windows(samples, windows, on, ts=ts, day=day, bin_seconds=bin_seconds)
     means = [
         nan_to_null(F.avg(F.when(F.col("logger_number") == n, nan_to_null(value)))).alias(f"logger_{n}_intensity")
         for n in (1, 2)

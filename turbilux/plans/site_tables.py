@@ -86,10 +86,12 @@ def cell_attenuation(
     coords: DataFrame,
     exclude_problems: bool = False,
     min_mean: float | None = 0.0,
+    order_free: bool = False,
     **grid_options,
 ) -> DataFrame:
-    """Attenuation per day, disturbance, track and zone."""
-    return C.cell_stats(gridded_poles(trials, coords, exclude_problems, **grid_options), min_mean=min_mean)
+    """Attenuation per day, disturbance, track and zone; with ``order_free`` equal bits on any cluster."""
+    poles = gridded_poles(trials, coords, exclude_problems, **grid_options)
+    return C.cell_stats(poles, min_mean=min_mean, order_free=order_free)
 
 
 def heatmap(table: DataFrame, fill: str, label: str) -> DataFrame:
