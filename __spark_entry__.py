@@ -28,6 +28,7 @@ from turbilux.operators.pairing import (  # noqa: E402
     pair_samples,
     pairing_report,
 )
+from turbilux.operators.ranks import ranked  # noqa: E402
 from turbilux.operators.reshape import bind_rows, pivot_loggers, split_on_borders, unpivot_loggers  # noqa: E402
 from turbilux.operators.rolling import blocked_rolling_mean  # noqa: E402
 from turbilux.operators.rows import (  # noqa: E402
@@ -808,6 +809,20 @@ def _pole_map(spark, sf):
     return rounded(pole_map(coords))
 
 
+@query(
+    "pole_map_in_order",
+    f"""select date, disturbance_id, line_id, point_name, point_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y, {r6('-coord_x')} map_x,
+              cast(rank() over (order by date nulls last, disturbance_id nulls last, line_id nulls last) as bigint) "place"
+       from v_coordinates""",
+)
+def _pole_map_in_order(spark, sf):
+    """The map's rows with their place in line order: the order itself is compared."""
+    coords = coordinates(V.coordinate_sheet(spark, sf)).select(
+        "date", "disturbance_id", "line_id", "point_name", "point_id", "coord_x", "coord_y"
+    )
+    return rounded(ranked(pole_map(coords), ["date", "disturbance_id", "line_id"], "place"))
+
+
 @query(
     "pole_map_one_date",
     f"""select date, disturbance_id, line_id, point_name, point_id, {r6('coord_x')} coord_x, {r6('coord_y')} coord_y,
@@ -986,6 +1001,26 @@ def _bound_sheets(spark, sf):
     return rounded(drop_na(drop_prefixed(bind_rows(customers, suppliers), "_c"), "balance"))
 
 
+@query(
+    "arranged_sheets",
+    f"""select *, cast(rank() over (order by segment nulls last, balance nulls last, point_id nulls last) as bigint) "place"
+       from (select c_custkey point_id, c_name point_name, {r6('case when c_acctbal >= 0 then c_acctbal end')} balance, c_mktsegment segment from customer
+             union all
+             select s_suppkey, s_name, {r6('case when s_acctbal >= 0 then s_acctbal end')}, null from supplier) t""",
+)
+def _arranged_sheets(spark, sf):
+    """Two sheets below each other with each row's place by segment, balance and point; missing values come last."""
+    known = lambda c: F.when(F.col(c) >= 0, F.col(c)).alias("balance")
+    customers = V.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("point_id"), F.col("c_name").alias("point_name"), known("c_acctbal"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    suppliers = V.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("point_id"), F.col("s_name").alias("point_name"), known("s_acctbal")
+    )
+    return ranked(rounded(bind_rows(customers, suppliers)), ["segment", "balance", "point_id"], "place")
+
+
 @query(
     "coordinates_by_trial",
     f"""with t as (select date '2022-06-20' + cast(c_nationkey as integer) date, cast(c_nationkey % 3 + 1 as integer) disturbance_number,

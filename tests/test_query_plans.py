@@ -8,8 +8,8 @@ import __spark_entry__ as contract
 from plan_text import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
-# these end in one row, or in a few rows per calendar day, grid cell or partition, by definition
-SINGLE_PARTITION = {"global_range", "unique_dates", "dates_by_appearance", "grid_tiles"}
+# these end in one row, or in a few rows per calendar day, grid cell, partition or range, by definition
+SINGLE_PARTITION = {"global_range", "unique_dates", "dates_by_appearance", "grid_tiles", "pole_map_in_order", "arranged_sheets"}
 
 
 @pytest.mark.parametrize("name", sorted(contract.QUERIES))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turbilux.functions.missing import present, present_number
+from turbilux.operators.ranks import ranked
 from turbilux.site import EVENT_MARK
 
 
@@ -99,21 +101,19 @@ def exclude_unclassified(df: DataFrame, *columns: str, label: str = "U") -> Data
 def unique_dates(df: DataFrame, column: str = "date", order: Sequence[str | Column] = ()) -> DataFrame:
     """Distinct days with their rank (``date_rank``, from 1): by first appearance in ``order``, or by date without one.
 
-    First places are a minimum per day.  Ranks come from a range sort: a row's number in its partition and the number of
-    rows in the partitions before, so no task holds all days.  Rows without a day are left out.
+    First places are a minimum per day, ranked over ranges (``ranked``), so no task holds all days.  Rows without a day are
+    left out.
     """
-    place = F.struct(*order) if order else F.col(column)
+    place = F.struct(*order) if order else F.struct(column)
     days = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(place).alias("_first"))
-    # ids grow along the sort: partition number, then row number
-    placed = days.repartitionByRange("_first").sortWithinPartitions("_first").withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition
-    parts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = parts.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
-    rank = F.col("_offset") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    ranked = placed.withColumn("_part", part).join(offsets, "_part")
-    return ranked.select(column, rank.cast("int").alias("date_rank"))
+    firsts = [f"_first_{i}" for i in range(max(len(order), 1))]
+    placed = days.withColumn("_first", F.col("_first").cast(_renamed(days, "_first", firsts))).select(column, "_first.*")
+    return ranked(placed, firsts, "date_rank", missing_last=False).select(column, F.col("date_rank").cast("int").alias("date_rank"))
+
+
+def _renamed(df: DataFrame, column: str, names: Sequence[str]) -> T.StructType:
+    """The type of a struct column with its fields renamed."""
+    return T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, df.schema[column].dataType.fields)])
 
 
 def input_order(df: DataFrame) -> DataFrame:
