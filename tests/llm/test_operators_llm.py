@@ -68,6 +68,15 @@ def test_exact_groups(odd_docs, no_docs, poly):
     assert exact_dedup.exact_groups(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 1.0])
+def test_exact_groups_with_hot_ones(spark, monkeypatch, share):
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", share)
+    rows = [(None if i % 50 == 0 else i // 2, "Copied" if i % 3 else f"text {i % 40}") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = exact_dedup.exact_groups(table).drop("row_hash").collect()
+    assert Counter(map(tuple, got)) == _exact(rows)
+
+
 def test_drop_copies_keeps_columns(odd_docs):
     kept = exact_dedup.drop_copies(odd_docs)
     assert kept.columns == odd_docs.columns
@@ -138,6 +147,33 @@ def test_written_codes(request, spark, tmp_path, name):
         start += len(ids)
 
 
+@pytest.mark.parametrize("name", ["odd_docs", "docs", "no_docs"])
+def test_tokens_by_corpus_position(request, spark, tmp_path, monkeypatch, name):
+    table = request.getfixturevalue(name)
+    token_codes.write_codes(table, f"{tmp_path}/codes", PATH, 2)
+    stored = token_codes.segments(spark, f"{tmp_path}/codes")
+    texts = sorted(table.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    tokenizer, ids = token_codes.Encoder(PATH).tokenizer, []
+    for r in texts:
+        ids += [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2]
+    rng = random.Random(11)
+    asked = [rng.randrange(len(ids)) for _ in range(300)] + [0, len(ids) - 1] if ids else []
+    asked += [None, -1, len(ids), len(ids) + 10**9]
+    positions = spark.createDataFrame([(i, "c") for i in asked + asked[:3]], "position long, token string")
+    got = {r.position: r.token for r in token_codes.read_tokens(stored, positions).collect()}
+    assert got == {i: ids[i] if i is not None and 0 <= i < len(ids) else None for i in asked}
+
+
+def test_token_counts_and_packing(odd_docs, no_docs):
+    tokenizer = token_codes.Encoder(PATH).tokenizer
+    want = Counter((r.doc_id, len(tokenizer.encode(r.text or "", add_special_tokens=False).ids)) for r in odd_docs.collect())
+    assert Counter(map(tuple, token_codes.token_counts(odd_docs, PATH).collect())) == want
+    pieces = length_buckets.pack_tokens(odd_docs, PATH, buckets=3, budget=2_000, max_length=700).collect()
+    cut = Counter((i, s, min(700, n - s)) for i, n in want.elements() for s in range(0, max(n, 1), 700))
+    assert Counter((r.doc_id, r.start, r.length) for r in pieces) == cut
+    assert length_buckets.pack_tokens(no_docs, PATH).count() == 0
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 

@@ -25,6 +25,9 @@ CHUNK_BYTES = 1 << 16
 # groups of copies whose fingerprints may be broadcast (about 40 bytes each); beyond it the join shuffles
 BROADCAST_GROUPS = 200_000
 
+# a group with more than this share of all rows is hot: at most 1 / HOT_SHARE groups can be
+HOT_SHARE = 0.001
+
 PRINT_KEY = ["print_1", "print_2", "n_bytes"]
 
 
@@ -152,17 +155,27 @@ def exact_groups(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
         )
     )
     key = [*PRINT_KEY, "told_apart"]
-    groups = keyed.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return keyed.join(groups, key).select(
+    groups = keyed.groupBy(*key).agg(F.struct(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).alias("group"))
+    return _with_groups(keyed, groups, key).select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.col("group.keep_id").alias("keep_id"),
+        F.col("group.group_size").alias("group_size"),
+        F.col("doc_id").eqNullSafe(F.col("group.keep_id")).alias("kept"),
         "text_sha256",
         "row_hash",
     )
 
 
+def _with_groups(keyed: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+    """Each row with its group.  Rows of hot groups, of which there are few, take theirs from a broadcast and are then dealt at random."""
+    least = F.lit(max(int(keyed.count() * HOT_SHARE), 1))
+    hot = groups.where(F.col("group.group_size") > least).withColumnRenamed("group", "hot")
+    rows = keyed.join(F.broadcast(hot), key, "left").withColumn("salt", F.when(F.col("hot").isNotNull(), F.xxhash64("doc_id", "row_hash", F.rand(7))).otherwise(0))
+    others = groups.where(F.col("group.group_size") <= least).withColumn("salt", F.lit(0).cast("long"))
+    found = rows.join(others, [*key, "salt"], "left")
+    return found.withColumn("group", F.coalesce("hot", "group"))
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns; a row is known by its doc_id (null-safe) and text."""
     return without_rows(docs, exact_groups(docs).where("not kept"))

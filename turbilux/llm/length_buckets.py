@@ -2,7 +2,7 @@
 
 Texts are cut into pieces of at most ``max_length`` units, so their lengths have a bounded histogram.  Dynamic programming over
 that histogram finds the bucket bounds with the least padding in total; inside a bucket, batches are filled up to a
-budget of padded units.
+budget of padded units.  Units are tokens in ``pack_tokens`` and whatever ``length`` says, words by default, in ``pack``.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turbilux.llm.storage import staged
+from turbilux.llm.token_codes import token_counts
 
 PIECES_PER_SHARD = 100_000
 
@@ -105,3 +106,8 @@ def pack(
             (F.col("bucket") - F.col("length")).alias("padding"),
         )
     )
+
+
+def pack_tokens(docs: DataFrame, tokenizer_path: str, **parameters) -> DataFrame:
+    """``pack`` with lengths, bounds and budget in tokens of whole texts, under the tokenizer at ``tokenizer_path`` on every executor."""
+    return pack(token_counts(docs, tokenizer_path), length=F.col("n_tokens"), **parameters)

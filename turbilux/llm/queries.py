@@ -84,7 +84,21 @@ def _op8(spark, sf):
 # --- 10: repeated passages -----------------------------------------------------------
 
 
-@query("op10_count_min_passages")
+@query(
+    "op10_count_min_passages",
+    r"""with d as (select row_number() over () i, doc_id,
+                      list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+       p as (select i, doc_id, unnest(generate_series(1, len(w) - 12)) s, w from d where len(w) > 12),
+       n as (select i, doc_id, s, md5_number(array_to_string(w[s:s + 12], ' ')) h from p),
+       f as (select h, min(doc_id) least from n group by h),
+       hit as (select distinct i, s + unnest(range(13)) k from n join f using (h)
+               where least < doc_id or (doc_id is null and least is not null)),
+       t as (select i, unnest(w) x, generate_subscripts(w, 1) k from d),
+       k as (select t.i, string_agg(x, ' ' order by k) filter (where hit.i is null) kept, count(hit.i) n_removed
+             from t left join hit using (i, k) group by 1)
+       select doc_id, cast(len(w) as bigint) n_words, coalesce(n_removed, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256
+       from d left join k using (i)""",
+)
 def _op10(spark, sf):
     return substring_dedup.remove_repeated(_table(spark, sf, "documents"))
 
@@ -121,7 +135,9 @@ def _op6(spark, sf):
 
 @query("op9_length_buckets")
 def _op9(spark, sf):
-    return length_buckets.pack(_table(spark, sf, "documents"))
+    import public_tokenizers
+
+    return length_buckets.pack_tokens(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 # --- 3: language ---------------------------------------------------------------------

@@ -306,7 +306,22 @@ def write_codes(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int)
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    ordered.mapInArrow(run, SEGMENT_SCHEMA).write.parquet(folder)
+    # segments are looked into, so Parquet leaves them as they are
+    ordered.mapInArrow(run, SEGMENT_SCHEMA).write.option("compression", "none").parquet(folder)
+
+
+def token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id and n_tokens of each row's whole text (no end id); a null text has none.  Other columns are ignored."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        encoder = _encoder(tokenizer_path)
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                counts = encoder.encode(*utf8(block.column("text")))[1]
+                yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "doc_id long, n_tokens long")
 
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,7 +329,7 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_starts(stored: DataFrame) -> DataFrame:
-    """part, seq and ``before``: the tokens before each segment.  Reads no segment.
+    """part, seq, ``before`` (the tokens before each segment) and n_tokens.  Reads no segment.
 
     Parts are added up first, so the one ordered task sees a row per part (a task of the writing job), not per segment.
     """
@@ -323,10 +338,53 @@ def segment_starts(stored: DataFrame) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("part_start"))
     within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        stored.select("part", "seq", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("in_part"))
+        stored.select("part", "seq", "n_tokens", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("in_part"))
         .join(parts, "part")
-        .select("part", "seq", (F.col("part_start") + F.col("in_part")).alias("before"))
+        .select("part", "seq", (F.col("part_start") + F.col("in_part")).alias("before"), "n_tokens")
+    )
+
+
+def read_tokens(stored: DataFrame, positions: DataFrame) -> DataFrame:
+    """position and token: the ids at corpus positions, counted from 0 over all documents with their end ids.
+
+    ``positions`` needs position; repeated ones give one row, and a null, a negative one or one past the end has token null.
+    Positions meet the segments' starts in bins as wide as the mean segment, so that the segments' rows are at most three
+    times the segments; then each segment that is asked for looks its tokens up, and no other is read by Python.
+    """
+    wanted = positions.select(F.col("position").cast("long").alias("position")).distinct()
+    size = stored.agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("segments")).first()
+    width = max(1, (size["tokens"] or 0) // max(size["segments"], 1))
+    starts = segment_starts(stored).where("n_tokens > 0")
+    last = F.col("before") + F.col("n_tokens") - 1
+    binned = starts.withColumn("bin", F.explode(F.sequence(F.floor(F.col("before") / width), F.floor(last / width))))
+    inside = F.col("position") - F.col("before")
+    placed = (
+        wanted.withColumn("bin", F.floor(F.col("position") / width))
+        .join(binned, "bin")
+        .where((inside >= 0) & (inside < F.col("n_tokens")))
+    )
+    # a segment has a bounded number of tokens, and positions are distinct
+    asked = placed.groupBy("part", "seq", "before").agg(F.collect_list(inside).alias("inside"))
+
+    def look_up(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for before, inside, blob in zip(*(batch.column(c) for c in ("before", "inside", "segment"))):
+                segment, places = Segment(blob.as_py()), inside.as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([before.as_py() + i for i in places], pa.int64()),
+                        pa.array([segment.token(i) for i in places], pa.int64()),
+                    ],
+                    ["position", "token"],
+                )
+
+    found = (
+        stored.select("part", "seq", "segment")
+        .join(asked, ["part", "seq"])
+        .select("before", "inside", "segment")
+        .mapInArrow(look_up, "position long, token long")
     )
+    return wanted.join(found, "position", "left")
 
 
 def read_documents(stored: DataFrame) -> DataFrame:
@@ -348,6 +406,6 @@ def read_documents(stored: DataFrame) -> DataFrame:
     rows = stored.select("part", "seq", "segment").mapInArrow(
         run, "part int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long"
     )
-    return rows.join(segment_starts(stored), ["part", "seq"]).select(
+    return rows.join(segment_starts(stored).drop("n_tokens"), ["part", "seq"]).select(
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
