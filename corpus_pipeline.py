@@ -41,9 +41,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the kept documents with their buckets, batches and slots."""
+    """Pieces of the kept documents, in tokens, with their buckets, batches and slots."""
+    import public_tokenizers
+
     ship_package(spark)
-    return length_buckets.pack(docs)
+    return length_buckets.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
