@@ -167,13 +167,11 @@ def exact_groups(docs: DataFrame, poly: Polynomial | None = None) -> DataFrame:
 
 
 def _with_groups(keyed: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
-    """Each row with its group.  Rows of hot groups, of which there are few, take theirs from a broadcast and are then dealt at random."""
+    """Each row with its group.  Rows of hot groups, of which there are few, take theirs from a broadcast and are not shuffled."""
     least = F.lit(max(int(keyed.count() * HOT_SHARE), 1))
-    hot = groups.where(F.col("group.group_size") > least).withColumnRenamed("group", "hot")
-    rows = keyed.join(F.broadcast(hot), key, "left").withColumn("salt", F.when(F.col("hot").isNotNull(), F.xxhash64("doc_id", "row_hash", F.rand(7))).otherwise(0))
-    others = groups.where(F.col("group.group_size") <= least).withColumn("salt", F.lit(0).cast("long"))
-    found = rows.join(others, [*key, "salt"], "left")
-    return found.withColumn("group", F.coalesce("hot", "group"))
+    hot = F.broadcast(groups.where(F.col("group.group_size") > least))
+    others = groups.where(F.col("group.group_size") <= least)
+    return keyed.join(hot, key).unionByName(keyed.join(hot, key, "left_anti").join(others, key))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
