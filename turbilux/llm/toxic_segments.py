@@ -296,7 +296,9 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """The rows that score below ``threshold``, with all their columns; a row is known by its doc_id (null-safe) and text."""
-    return without_rows(docs, toxicity(docs, model, threshold).where("predicted = 1"))
+    # written first: scoring in Python and a shuffle of the texts would otherwise share the executors' memory
+    rejected = staged(toxicity(docs, model, threshold).where("predicted = 1").select("doc_id", "row_hash"))
+    return without_rows(docs, rejected)
 
 
 def toxic_passages(docs: DataFrame, model: Model, most_expected: float = 0.05) -> DataFrame:
