@@ -314,7 +314,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id and n_tokens of each row's whole text (no end id); a null text has none.  Other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder = _encoder(tokenizer_path)
+        # not kept between tasks: a Python worker's next task may be another operator's, with all its memory to itself
+        encoder = Encoder(tokenizer_path)
         for batch in batches:
             for block in blocks(batch, "text"):
                 counts = encoder.encode(*utf8(block.column("text")))[1]
